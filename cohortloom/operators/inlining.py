@@ -241,14 +241,14 @@ def shred_record(record: dict, graph: ElementGraph) -> list[tuple]:
                     fields[prefix + e.name] = scalar_text(x)
                     continue
                 if e.repeated:
-                    x = _as_object(x)
-                    items = x if isinstance(x, list) else [x]
+                    opened = _as_object(x)
+                    items = opened if isinstance(opened, list) else [x]
                 else:
                     items = [x]
                 target = graph.leaf_lists[(element, e.name)] if e.target == LEAF else e.target
                 for k, item in enumerate(items):
-                    if e.target != LEAF:
-                        item = _as_object(item)
+                    if e.target != LEAF and isinstance(opened := _as_object(item), dict):
+                        item = opened
                     if item is None:
                         continue
                     if e.target == LEAF or e.target in graph.relations:
