@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["consensus_queries", "canonical_queries", "pairs_queries", "leakage_queries", "mixing_queries"]
+MODULES = ["consensus_queries", "canonical_queries", "pairs_queries", "leakage_queries", "mixing_queries", "stuffing_queries"]
 
 
 def _collect(attribute: str) -> dict:
