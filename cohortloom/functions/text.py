@@ -44,6 +44,14 @@ def composed_text(title: Column, source: Column, characteristics: Column) -> Col
     return F.concat_ws(",", F.when(filled(title), F.concat(F.lit("title: "), title)), F.when(filled(source), F.concat(F.lit("source: "), source)), F.when(filled(characteristics), characteristics))
 
 
+def reject_reason(organism: Column, strategy: Column, text: Column, want_organism: str, want_strategy: str, least: int) -> Column:
+    """Null for rows to keep, else the first reason; a null organism or strategy is ``unknown``."""
+    return (
+        F.when(organism.isNull() | strategy.isNull(), "unknown").when(organism != want_organism, "not_human").when(strategy != want_strategy, "not_bulk_rnaseq")
+        .when(F.coalesce(F.length(text) < least, F.lit(True)), "string_too_short")
+    )
+
+
 def control_label(text: Column) -> Column:
     """``control`` where a control word stands between word boundaries, else ``treated`` (null text included)."""
     return F.when(F.coalesce(F.lower(text).rlike(r"\b(" + "|".join(CONTROL_WORDS) + r")\b"), F.lit(False)), "control").otherwise("treated")
@@ -100,7 +108,7 @@ def duration_key(duration: Column) -> Column:
     t = F.lower(F.regexp_replace(duration, r"\s+", ""))
     n = F.regexp_extract(t, r"^([0-9.]+)([a-z]+)$", 1)
     unit = F.regexp_extract(t, r"^([0-9.]+)([a-z]+)$", 2)
-    x = F.expr("try_cast(null as double)") if False else F.when(n.rlike(r"^\d*\.?\d+$|^\d+\.$"), n.cast("double"))
+    x = F.when(n.rlike(r"^\d*\.?\d+$|^\d+\.$"), n.cast("double"))
     known = (
         F.when(unit.isin("min", "mins", "minute", "minutes"), F.concat(_digits7(x / 60), F.lit("h")))
         .when(unit.isin("h", "hr", "hrs", "hour", "hours"), F.concat(_digits7(x), F.lit("h")))
@@ -250,7 +258,7 @@ def clock_seconds(text: Column) -> Column:
 
 def clock_text(seconds: Column) -> Column:
     s = seconds.cast("long")
-    return F.format_string("%02d:%02d:%02d", F.floor(s / 3600).cast("int"), (F.floor(s / 60) % 60).cast("int"), (s % 60).cast("int"))
+    return F.when(s.isNotNull(), F.format_string("%02d:%02d:%02d", F.floor(s / 3600).cast("int"), (F.floor(s / 60) % 60).cast("int"), (s % 60).cast("int")))
 
 
 def pair_key(a: Column, b: Column) -> Column:

@@ -63,24 +63,27 @@ def mcnemar(df: DataFrame, right_a: str, right_b: str, *groups: str, continuity:
     return out.withColumn("chi_square", chi).withColumn("p_value", chi_square_tail(F.col("chi_square")))
 
 
-def bootstrap_delta(df: DataFrame, id_col: str, right_a: str, right_b: str, iterations: int = 200, seed: int = 42, confidence: float = 0.95) -> DataFrame:
-    """Percentile interval of the accuracy difference; draw k of an iteration is the row whose rank a hash names.
+def bootstrap_delta(df: DataFrame, right_a: str, right_b: str, iterations: int = 1000, seed: int = 42, confidence: float = 0.95) -> DataFrame:
+    """Percentile interval of the accuracy difference of two models: n, delta, low, high.
 
-    Rows are ranked once by id; the draws are iterations x rows of the aggregated pair table, joined on the rank.
+    A row's difference is -1, 0 or 1, so resampling n rows with replacement is a multinomial draw from the three
+    counts: one aggregation over the rows, then ``iterations`` draws, at any n. No rows give no row.
     """
-    rows = df.dropna(subset=[right_a, right_b]).select(F.col(id_col).alias("_id"), (F.col(right_a).cast("int") - F.col(right_b).cast("int")).alias("_d"))
-    # equal rows are alike, so it is enough to draw from the counts of the three possible differences
-    counts = {r["_d"]: r["count"] for r in rows.groupBy("_d").count().collect()}
+    import numpy as np
+
+    d = F.col(right_a).cast("int") - F.col(right_b).cast("int")
+    counts = {r["_d"]: r["count"] for r in df.dropna(subset=[right_a, right_b]).groupBy(d.alias("_d")).count().collect()}
     n = sum(counts.values())
     spark = df.sparkSession
-    low, high = counts.get(-1, 0), counts.get(-1, 0) + counts.get(0, 0)
-    draws = spark.range(iterations).select(F.col("id").alias("iteration"), F.explode(F.sequence(F.lit(0), F.lit(max(n - 1, 0)))).alias("k"))
-    at = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "iteration", "k")), 1, 8), 16, 10).cast("long") % max(n, 1)
-    d = F.when(at < low, -1).when(at < high, 0).otherwise(1)
-    deltas = draws.groupBy("iteration").agg(F.avg(d).alias("delta"))
+    schema = "n long, delta double, low double, high double"
+    if not n:
+        return spark.createDataFrame([], schema)
+    shares = [counts.get(k, 0) / n for k in (-1, 0, 1)]
+    drawn = np.random.default_rng(seed).multinomial(n, shares, size=iterations)
+    deltas = (drawn[:, 2] - drawn[:, 0]) / n
     tail = (1 - confidence) / 2
-    ends = F.percentile("delta", F.array(F.lit(tail), F.lit(1 - tail)))
-    return deltas.filter(F.lit(n > 0)).agg(ends.alias("e")).select(F.lit(n).cast("long").alias("n"), F.col("e")[0].alias("low"), F.col("e")[1].alias("high"))
+    low, high = np.quantile(deltas, [tail, 1 - tail])
+    return spark.createDataFrame([(n, shares[2] - shares[0], float(low), float(high))], schema)
 
 
 def holm(df: DataFrame, p: str, *, order: list[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["nested_facts", "unit_amounts"]
+MODULES = ["nested_facts", "unit_amounts", "text_queries", "evaluation_queries"]
 
 
 def _collect(attribute: str) -> dict:
