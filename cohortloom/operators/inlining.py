@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..workspace import spread
+
 LEAF = "text"
 
 
@@ -284,7 +286,8 @@ def shred(df: DataFrame, id_col: str, text_col: str, graph: ElementGraph, signat
                     out = []
             yield pd.DataFrame(out, columns=names)
 
-    return df.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).mapInPandas(run, schema).withColumnRenamed("record_key", id_col)
+    rows = spread(df.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")))
+    return rows.mapInPandas(run, schema).withColumnRenamed("record_key", id_col)
 
 
 def relation_table(shredded: DataFrame, id_col: str, graph: ElementGraph, relation: str) -> DataFrame:

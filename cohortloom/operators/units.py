@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantities import DOSE_UNITS, SPAN_UNITS, parse_dose, parse_duration
-from ..workspace import materialize
+from ..workspace import materialize, spread
 
 
 @dataclass(frozen=True)
@@ -96,7 +96,7 @@ def parsed_quantities(df: DataFrame, id_col: str, device_col: str, time_col: str
         unit.alias("unit"),
         (F.col(agent_col) if quantity == "dose" else F.lit(None).cast("string")).alias("agent"),
     ).filter(F.col("raw").isNotNull() | F.col("numeric").isNotNull())
-    return rows.mapInPandas(run, "row_id long, device string, at long, number string, log_value double, stated int")
+    return spread(rows).mapInPandas(run, "row_id long, device string, at long, number string, log_value double, stated int")
 
 
 def with_levels(rows: DataFrame, model: UnitModel) -> DataFrame:

@@ -48,3 +48,9 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     _made.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in enough partitions for all cores, for work that costs much per row; large inputs have them already."""
+    wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= wanted // 3 * 2 else df.repartition(wanted)
