@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import materialize
+from ..workspace import materialize, spread
 
 _RUN = re.compile("[a-z0-9]+")
 
@@ -46,7 +46,7 @@ def store_index(docs: DataFrame, id_col: str, text_col: str, vocabulary: dict[st
                     out.append((key, ids[at], at))
             yield pd.DataFrame(out, columns=["doc", "terms", "positions"])
 
-    postings = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).mapInPandas(build, f"doc {id_type}, terms array<int>, positions array<int>")
+    postings = spread(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))).mapInPandas(build, f"doc {id_type}, terms array<int>, positions array<int>")
     return materialize(postings, "postings")
 
 

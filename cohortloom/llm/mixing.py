@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.prefix import running_sum
-from ..workspace import materialize
+from ..workspace import materialize, spread
 
 GOLDEN = (math.sqrt(5) - 1) / 2
 
@@ -51,7 +51,7 @@ def token_counts(df: DataFrame, id_col: str, text_col: str, vocabulary: str, *ke
             yield b
 
     fields = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in (id_col, *keep)]
-    return df.select(id_col, *keep, F.col(text_col).alias("_text")).mapInPandas(count, ", ".join([*fields, "tokens long"]))
+    return spread(df.select(id_col, *keep, F.col(text_col).alias("_text"))).mapInPandas(count, ", ".join([*fields, "tokens long"]))
 
 
 def schedule(spark, shares: list[tuple[str, float]], slots: int, points: str = "golden", chunk: int = 100_000) -> DataFrame:

@@ -22,6 +22,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import spread
+
 # --- fixed values: function words and refusal wording ----------------------------------------------------
 FUNCTION_WORDS = {
     "en": "the of and is in to that a an which with not for as are this it on by from but so than its both be was were has have does do or at would i there while although because only what neither since could can only same them each these no",
@@ -274,7 +276,7 @@ def broken_pairs(df: DataFrame, id_col: str, prompt_col: str, answer_col: str, c
     their own row; very long texts are parsed whole. Run counts cover all prompts and answers and are combined
     in the task and map-side; only the runs that unfinished answers end with are joined to them.
     """
-    base = df.select(F.col(id_col).alias("id"), F.col(prompt_col).alias("p"), F.col(answer_col).alias("a"))
+    base = spread(df.select(F.col(id_col).alias("id"), F.col(prompt_col).alias("p"), F.col(answer_col).alias("a")))
     id_type = df.schema[id_col].dataType.simpleString()
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

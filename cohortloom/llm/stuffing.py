@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..workspace import spread
 from .pairs import FUNCTION_WORDS
 
 # --- fixed values ---------------------------------------------------------------------------------------
@@ -157,5 +158,5 @@ def stuffed_pages(df: DataFrame, id_col: str, text_col: str, share: float = 0.55
                     out.append((key, s, n, d))
             yield pd.DataFrame(out, columns=["id", "stuffed_share", "n_words", "shape_dominance"])
 
-    rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    rows = spread(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")))
     return rows.mapInPandas(judge, f"id {id_type}, stuffed_share double, n_words long, shape_dominance double").withColumnRenamed("id", id_col)
