@@ -180,7 +180,7 @@ def find_record(text: str | None, signature: frozenset[str]) -> dict | None:
         except (ValueError, RecursionError):
             pos = at + 1
             if not all(f'"{k}"' in text[pos:] or f'\\"{k}\\"' in text[pos:] for k in signature):
-                return None
+                break
             continue
         if (found := _search(value, signature)) is not None:
             return found
