@@ -100,7 +100,7 @@ def _digits7(x: Column) -> Column:
     places = F.greatest(F.lit(0), F.lit(6) - F.floor(F.log10(F.greatest(x, F.lit(1e-9)))).cast("int"))
     scale = F.pow(F.lit(10.0), places)
     text = F.format_string("%.10f", F.round(x * scale, 0) / scale)
-    return F.when(x == 0, F.lit("0")).otherwise(F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ""))
+    return F.when(x == 0, F.lit("0")).when(x.isNotNull(), F.regexp_replace(F.regexp_replace(text, r"(\.\d*?)0+$", "$1"), r"\.$", ""))
 
 
 def duration_key(duration: Column) -> Column:

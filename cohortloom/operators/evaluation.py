@@ -8,6 +8,7 @@ from statistics import NormalDist
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def wilson(successes: Column, n: Column, confidence: float = 0.95) -> tuple[Column, Column]:
@@ -48,7 +49,7 @@ def confusion(df: DataFrame, gold: str, predicted: str, levels: list[str]) -> Da
     return F.broadcast(grid).join(counts, ["gold", "predicted"], "left").select("gold", "predicted", F.coalesce("n", F.lit(0)).alias("n"))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def chi_square_tail(x: pd.Series) -> pd.Series:
     """Upper tail of chi-square with one degree of freedom, on already aggregated rows."""
     return x.map(lambda v: math.erfc(math.sqrt(v / 2)) if v == v and v is not None else None)
