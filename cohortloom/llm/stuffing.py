@@ -104,8 +104,10 @@ def labelled_words(text: str) -> list[tuple[str, str, tuple]]:
                 out += [(w, "sound", ("record",)) for w in words]
                 continue
             phrases = [p for p in _SPLIT.split(piece) if p.strip()]
-            if sentence_like(words) and max(len(_WORD.findall(p)) for p in phrases) >= 4:
-                out += [(w, "prose", ("sentence", min(len(words) // 5, 6)))  for w in words]
+            sizes = [len(_WORD.findall(p)) for p in phrases]
+            listed = len(sizes) >= 6 and max(sizes) <= 7
+            if sentence_like(words) and max(sizes) >= 4 and not listed:
+                out += [(w, "prose", ("sentence", min(len(words), 30))) for w in words]
                 continue
             genes = [p for p in phrases if _GENE.match(p.strip(" .:"))]
             heading = re.match(r"^[^:,;|]{3,40}:\s*\S+", piece)
@@ -116,7 +118,8 @@ def labelled_words(text: str) -> list[tuple[str, str, tuple]]:
             for p in phrases:
                 ws = [w.lower() for w in _WORD.findall(p)]
                 capitals = "upper" if p.isupper() else "title" if p[:1].isupper() else "lower"
-                out += [(w, "key", (separator, min(len(ws), 6), capitals, any(c.isdigit() for c in p))) for w in ws]
+                shape = (separator, min(len(ws), 6), capitals, any(c.isdigit() for c in p))
+                out += [(w, "key", shape) for w in ws]
     return out
 
 
@@ -133,7 +136,13 @@ def stuffed_share(text: str | None, window: int = 40, least_variety: float = 0.3
     step = max(1, window // 8)
     for s in range(0, max(1, len(open_at) - window + 1), step):
         span = open_at[s : s + window]
-        if len(span) >= 20 and len({found[i][0] for i in span}) <= least_variety * len(span):
+        if len(span) < 20:
+            continue
+        seen = Counter(found[i][0] for i in span)
+        top = max((c for w, c in seen.items() if w not in FUNCTION), default=0)
+        short = sum(k != "prose" or shape[1] < 8 for _, k, shape in (found[i] for i in span))
+        # few words, in scraps or with one of them all over; a long sentence said again and again is neither
+        if len(seen) <= least_variety * len(span) and (short >= 0.5 * len(span) or top >= 0.18 * len(span)):
             for i in span:
                 bad[i] = 1
     total = sum(bad)
