@@ -1,7 +1,5 @@
 import json
 
-from pyspark.sql import types as T
-
 from cohortloom.contracts import FACT_SIGNATURE
 from cohortloom.operators.inlining import LEAF, Edge, ElementGraph, find_record, infer_graph, relation_table, shred, shred_record
 from cohortloom.plans.nested_facts import fact_graph
@@ -63,4 +61,4 @@ def test_inferred_graph(spark):
     df = spark.createDataFrame([(TEXT,)], "t string")
     g = infer_graph(df, "t", FACT_SIGNATURE, "fact")
     assert "perturbations" in g.relations and "cell_context" not in g.relations
-    assert isinstance(fact_graph().columns("fact"), list) and isinstance(T.StructType(), T.StructType)
+    assert "targets" in g.all_relations() and "ambiguity_flags" not in g.all_relations()  # a single bare value shows no list
