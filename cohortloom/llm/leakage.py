@@ -3,7 +3,8 @@
 Every document's postings of test terms (term, position) are stored once. Terms are ranked by document
 frequency over all documents; the windows of each test item are looked up from their rarest term, the lists
 of the other terms are intersected at their adjusted offsets, and runs of enough consecutive words are exact
-phrase matches. Every shard answers all queries on its own documents, so nothing but the term frequencies is
+phrase matches. Proximity matches may lack some words of a window, so they are looked up from as many of its
+rarest terms that one at least must be there. Every shard answers all queries on its own documents, so nothing but the term frequencies is
 shuffled. Test items go to the tasks in blocks of a bounded number of words.
 """
 
@@ -15,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +57,38 @@ def anchors(terms: np.ndarray, rarity: np.ndarray, n: int) -> list[int]:
     return sorted({int(s + np.argmin(rarity[terms[s : s + n]])) for s in range(len(terms) - n + 1)})
 
 
+def near_anchors(terms: np.ndarray, rarity: np.ndarray, n: int, need: int) -> list[int]:
+    """Offsets of the n - need + 1 rarest terms of each window; a window with ``need`` words in place has one of these."""
+    rarest = np.argsort(sliding_window_view(rarity[terms], n), axis=1, kind="stable")[:, : n - need + 1]
+    return np.unique(rarest + np.arange(len(rarest))[:, None]).tolist()
+
+
+def window_hits(line: np.ndarray, delta: np.ndarray, terms: np.ndarray, n: int, slop: int) -> np.ndarray:
+    """For each start of ``terms`` on the line, the most words of a window that stand within ``slop`` words of their places."""
+    rows = line[delta[:, None] + np.arange(-slop, len(terms) + slop)]
+    hits = np.zeros((len(delta), len(terms)), dtype=bool)
+    for j in range(2 * slop + 1):
+        hits |= rows[:, j : j + len(terms)] == terms
+    sums = np.zeros((len(delta), len(terms) + 1), dtype="int32")
+    np.cumsum(hits, axis=1, out=sums[:, 1:])
+    return (sums[:, n:] - sums[:, :-n]).max(axis=1)
+
+
+def near_places(line: np.ndarray, at: np.ndarray, doc: np.ndarray, k: int, terms: np.ndarray, n: int, slop: int, need: int) -> Iterator[tuple[int, int, int]]:
+    """(document, start of the item, words in place) around the occurrences ``at`` of the item's term at offset k."""
+    lo = max(0, k - n + 1)
+    part = terms[lo : k + n]
+    for s in range(0, len(at), 20_000):
+        base, d = at[s : s + 20_000] - k, doc[s : s + 20_000]
+        # the term itself may stand up to slop words off its place: what no shift can save goes first
+        some = window_hits(line, base + lo, part, n, 2 * slop) >= need
+        base, d = base[some], d[some]
+        for j in range(-slop, slop + 1):
+            counts = window_hits(line, base + lo + j, part, n, slop)
+            for i in np.flatnonzero(counts >= need):
+                yield int(d[i]), int(base[i]) + j, int(counts[i])
+
+
 def longest_run(hits: np.ndarray) -> np.ndarray:
     """Length of the longest run of True in each row."""
     best = np.zeros(len(hits), dtype="int64")
@@ -65,17 +99,17 @@ def longest_run(hits: np.ndarray) -> np.ndarray:
     return best
 
 
-def search(docs: pd.DataFrame, items: list[tuple], rarity: np.ndarray, n: int, slop: int | None) -> list[tuple]:
+def search(docs: pd.DataFrame, items: list[tuple], rarity: np.ndarray, n: int, slop: int | None, near_share: float = 0.8) -> list[tuple]:
     """(doc, item, longest run, share of a window's words near its place) over one batch of the index.
 
-    Without ``slop`` only exact phrases are returned; with it also documents where a window's words stand
-    within ``slop`` words of their places in any order.
+    Without ``slop`` only exact phrases are returned; with it also documents where ``near_share`` of a window's
+    words stand within ``slop`` words of their places in any order. Their run is the longest of the best places.
     """
     sizes = docs["terms"].map(len).to_numpy()
     if not len(sizes):
         return []
     ends = np.array([p[-1] for p in docs["positions"]], dtype="int64")
-    pad = max((len(t) for _, t in items), default=0) + (slop or 0) + 1
+    pad = max((len(t) for _, t in items), default=0) + 3 * (slop or 0) + 1
     starts = np.concatenate([[0], np.cumsum(ends + 1 + pad)[:-1]]) + pad
     terms = np.concatenate(docs["terms"].to_numpy())
     places = np.concatenate(docs["positions"].to_numpy()).astype("int64") + np.repeat(starts, sizes)
@@ -83,7 +117,9 @@ def search(docs: pd.DataFrame, items: list[tuple], rarity: np.ndarray, n: int, s
     line[places] = terms
     order = np.argsort(terms, kind="stable")
     by_term, sorted_terms = places[order], terms[order]
+    doc_of = np.repeat(np.arange(len(sizes)), sizes)[order]
     keys = docs["doc"].to_numpy()
+    need = max(1, next((c for c in range(n + 1) if c / n >= near_share), n + 1))
     out = []
     for item, t in items:
         if len(t) < n:
@@ -93,33 +129,27 @@ def search(docs: pd.DataFrame, items: list[tuple], rarity: np.ndarray, n: int, s
             lo, hi = np.searchsorted(sorted_terms, [t[a], t[a] + 1])
             if hi > lo:
                 deltas.append(by_term[lo:hi] - a)
-        if not deltas:
-            continue
-        delta = np.unique(np.concatenate(deltas))
-        runs = np.zeros(len(delta), dtype="int64")
-        for s in range(0, len(delta), 20_000):
-            runs[s : s + 20_000] = longest_run(line[delta[s : s + 20_000, None] + np.arange(len(t))] == t[None, :])
-        doc = np.searchsorted(starts, delta + len(t) - 1, side="right") - 1
-        doc = np.where(delta >= 0, np.searchsorted(starts, np.maximum(delta, 0), side="right") - 1, doc)
         best: dict[int, list] = {}
-        for i in np.flatnonzero(runs >= n):
-            # the run lies within one document: the padding between documents holds no term
-            hit = np.flatnonzero(line[delta[i] + np.arange(len(t))] == t)
-            d = int(np.searchsorted(starts, delta[i] + hit[len(hit) // 2], side="right") - 1)
-            best[d] = [max(int(runs[i]), best.get(d, [0])[0]), 1.0]
+        if deltas:
+            delta = np.unique(np.concatenate(deltas))
+            runs = np.zeros(len(delta), dtype="int64")
+            for s in range(0, len(delta), 20_000):
+                runs[s : s + 20_000] = longest_run(line[delta[s : s + 20_000, None] + np.arange(len(t))] == t[None, :])
+            for i in np.flatnonzero(runs >= n):
+                # the run lies within one document: the padding between documents holds no term
+                hit = np.flatnonzero(line[delta[i] + np.arange(len(t))] == t)
+                d = int(np.searchsorted(starts, delta[i] + hit[len(hit) // 2], side="right") - 1)
+                best[d] = [max(int(runs[i]), best.get(d, [0])[0]), 1.0]
         if slop is not None:
-            for i in np.flatnonzero(runs < n):
-                span = line[max(0, delta[i] - slop) : delta[i] + len(t) + slop]
-                if not (span >= 0).any():
-                    continue
-                near = np.zeros(len(t), dtype="int64")
-                for k in range(len(t)):
-                    near[k] = t[k] in line[max(0, delta[i] + k - slop) : max(0, delta[i] + k + slop + 1)]
-                share = float(np.convolve(near, np.ones(n, dtype="int64"), "valid").max()) / n
-                centre = int(delta[i] + np.flatnonzero(near).mean()) if near.any() else int(delta[i])
-                d = int(np.searchsorted(starts, centre, side="right") - 1)
-                if d >= 0 and share > best.get(d, [0, 0.0])[1]:
-                    best[d] = [int(runs[i]), share]
+            exact, near = set(best), {}
+            for a in near_anchors(t, rarity, n, need):
+                lo, hi = np.searchsorted(sorted_terms, [t[a], t[a] + 1])
+                if hi > lo:
+                    for d, x, c in near_places(line, by_term[lo:hi], doc_of[lo:hi], a, t, n, slop, need):
+                        if d not in exact and c >= near.get(d, (0,))[0]:
+                            near[d] = (c, near[d][1] | {x} if c == near.get(d, (0,))[0] else {x})
+            for d, (c, xs) in near.items():
+                best[d] = [int(longest_run(line[np.array(sorted(xs))[:, None] + np.arange(len(t))] == t).max()), c / n]
         out += [(keys[d], item, r, s) for d, (r, s) in best.items()]
     return out
 
@@ -128,8 +158,9 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
     """(doc_id, item_id, run_length, near_share): documents that hold at least ``n`` consecutive words of an item.
 
     Words are maximal runs of a-z and 0-9 after lower-casing. With ``slop``, documents where at least
-    ``near_share`` of a window's words stand near their places count too. Null texts, and items of fewer than
-    ``n`` words, give no row; repeated documents and items each count; very long texts are indexed whole.
+    ``near_share`` of a window's words stand within ``slop`` words of their places count too, whichever words are
+    missing. Null texts, and items of fewer than ``n`` words, give no row; repeated documents and items each count;
+    very long texts are indexed whole.
     """
     spark = docs.sparkSession
     d_type, i_type = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
@@ -149,7 +180,7 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             queries, rare = shipped.value
             for b in batches:
-                yield pd.DataFrame(search(b, queries, rare, n, slop), columns=["doc", "item", "run_length", "near_share"])
+                yield pd.DataFrame(search(b, queries, rare, n, slop, near_share), columns=["doc", "item", "run_length", "near_share"])
 
         return index.mapInPandas(run, schema)
 

@@ -45,3 +45,40 @@ def test_long_text_proximity_and_empty_tables(spark):
 
 def test_query_equals_oracle(spark):
     check(spark, p6_found, ORACLE_SQL["p6_found"], SMALL)
+
+
+def brute_near(docs, items, n, slop, share):
+    """{(document, item): most words of a window near their places} over every start of the item."""
+    out = {}
+    for d, text in docs:
+        w = word_runs(text)
+        for i, q in items:
+            t = word_runs(q)
+            for x in range(-len(t) - slop, len(w) + slop + 1):
+                near = [t[k] in w[max(0, x + k - slop) : max(0, x + k + slop + 1)] for k in range(len(t))]
+                c = max((sum(near[s : s + n]) for s in range(len(t) - n + 1)), default=0)
+                if c / n >= share and c > out.get((d, i), 0):
+                    out[d, i] = c
+    return out
+
+
+def test_proximity_equals_brute_force_whichever_words_are_missing(spark):
+    rnd = random.Random(5)
+    common = [f"c{i}" for i in range(25)]
+    items = [(i, " ".join(rnd.choices(common, k=17)[:-1] + [f"rare{i}"])) for i in range(5)]
+    items = [(i, " ".join(rnd.sample(q.split(), 17))) for i, q in items]
+    docs = []
+    for i, q in items:
+        for changed in range(1, 6):
+            w = q.split()
+            for k in [w.index(f"rare{i}"), *rnd.sample(range(17), changed - 1)]:
+                w[k] = rnd.choice(["other", "misspelt"])
+            a = rnd.randrange(16)
+            w[a : a + 2] = [w[a + 1], *(["inserted"] if changed % 2 else []), w[a]]
+            docs.append((len(docs), " ".join(rnd.choices(common, k=rnd.randint(0, 9)) + w)))
+    docs += [(100 + i, q) for i, q in items] + [(200 + i, " ".join(rnd.choices(common, k=30))) for i in range(10)]
+    d, q = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for share in (0.8, 0.6):
+        got = leaks(d, "doc_id", "text", q, "item_id", "text", slop=2, near_share=share).collect()
+        assert {(r.doc_id, r.item_id): round(r.near_share * 13) for r in got} == brute_near(docs, items, 13, 2, share)
+        assert len(got) == len({(r.doc_id, r.item_id) for r in got})
