@@ -9,7 +9,8 @@ table of true label against vote, and a second fit reads the annotator's labels
 Votes are gathered once into one short array per item (one vote per annotator and item, combined map-side),
 written to shared storage, and every EM step is a narrow pass over these arrays that returns one row of
 sufficient statistics per task. The parameters travel with the tasks; their size is that of the annotator
-list, which is checked against ``max_annotators``. Beyond it every step is run as joins on the annotator.
+list, which is checked against ``max_annotators``. Beyond it every step, and the renaming, is run as joins on
+the annotator, with the same steps, the same end and the same results.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import materialize
+from ..workspace import discard, materialize
 
 
 @dataclass
@@ -146,38 +147,77 @@ def _em(items: DataFrame, fit: Fit, steps: int, tolerance: float, smoothing: flo
     return fit, table
 
 
-def _joined_steps(votes: DataFrame, labels: list[str], steps: int, smoothing: float, check_every: int = 5) -> tuple[DataFrame, DataFrame]:
-    """The same EM for an annotator list of any size: parameters are a table that is joined on the annotator."""
+def _joined_fit(votes: DataFrame, labels: list[str], steps: int, smoothing: float, tolerance: float = 1e-4) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(posteriors, annotators, votes as they are read): ``fit_mixture`` for an annotator list of any size, whose parameters are a table that is joined on the annotator."""
     k = len(labels)
-    index = {x: i for i, x in enumerate(labels)}
-    y = F.create_map(*[v for x, i in index.items() for v in (F.lit(x), F.lit(i))])[F.col("label")]
+    y = F.create_map(*[v for i, x in enumerate(labels) for v in (F.lit(x), F.lit(i))])[F.col("label")]
     votes = materialize(votes.select("item", "annotator", y.alias("y")), "votes")
     params = votes.select("annotator").distinct().select("annotator", F.lit(0.7).alias("c"), *[F.lit(1.0 / k).alias(f"g{j}") for j in range(k)])
-    prior = [1.0 / k] * k
-    for step in range(steps + 1):
+    params, prior, post = _joined_em(votes, materialize(params, "annotators"), [1.0 / k] * k, steps, smoothing, tolerance)
+    if post is None:
+        return materialize(_joined_posterior(votes.join(params, "annotator"), prior), "posterior"), params, votes
+    names = materialize(_joined_renamings(votes, post, k), "names")
+    same = F.col("names") == F.array(*[F.lit(j) for j in range(k)])
+    if names.filter(~same).limit(1).count():
+        votes = materialize(votes.join(names, "annotator").select("item", "annotator", F.element_at("names", F.col("y") + 1).alias("y")), "votes")
+        params = params.join(names, "annotator").select("annotator", F.when(same, F.col("c")).otherwise(0.7).alias("c"), *[f"g{j}" for j in range(k)])
+        params, prior, _ = _joined_em(votes, materialize(params, "annotators"), prior, steps, smoothing, tolerance)
+    return materialize(_joined_posterior(votes.join(params, "annotator"), prior), "posterior"), params, votes
+
+
+def _joined_renamings(votes: DataFrame, post: DataFrame, k: int) -> DataFrame:
+    """(annotator, names): the renaming of each annotator by the expected table of true label and vote."""
+    table = votes.join(post, "item").groupBy("annotator").agg(F.array(*[F.sum(F.when(F.col("y") == j, F.col(f"p{i}")).otherwise(0.0)) for i in range(k) for j in range(k)]).alias("t"))
+
+    def rename(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if len(b):
+                yield pd.DataFrame({"annotator": b["annotator"], "names": renamings(np.stack(b["t"].to_numpy()).reshape(-1, k, k)).tolist()})
+
+    return table.mapInPandas(rename, "annotator string, names array<int>")
+
+
+def _rated(scored: DataFrame, k: int) -> DataFrame:
+    g = F.element_at(F.array(*[F.col(f"g{j}") for j in range(k)]), F.col("y") + 1)
+    return scored.withColumn("guess", (1 - F.col("c")) * g).withColumn("hit", F.col("c") + F.col("guess"))
+
+
+def _joined_posterior(scored: DataFrame, prior: list[float]) -> DataFrame:
+    k = len(prior)
+    logs = _rated(scored, k).groupBy("item").agg(
+        *[(F.sum(F.log("guess")) + F.sum(F.when(F.col("y") == j, F.log("hit") - F.log("guess")).otherwise(0.0)) + F.lit(float(np.log(prior[j])))).alias(f"l{j}") for j in range(k)]
+    )
+    top = F.greatest(*[F.col(f"l{j}") for j in range(k)])
+    exps = logs.select("item", *[F.exp(F.col(f"l{j}") - top).alias(f"e{j}") for j in range(k)])
+    z = sum((F.col(f"e{j}") for j in range(1, k)), F.col("e0"))
+    return exps.select("item", *[(F.col(f"e{j}") / z).alias(f"p{j}") for j in range(k)])
+
+
+def _joined_em(votes: DataFrame, params: DataFrame, prior: list[float], steps: int, smoothing: float, tolerance: float) -> tuple[DataFrame, list[float], DataFrame]:
+    """``_em`` as joins: the annotators and the prior after the last step, and the posteriors that this step used."""
+    k, post = len(prior), None
+    for _ in range(steps):
+        if post is not None:
+            discard(post)
         scored = votes.join(params, "annotator")
-        g = F.element_at(F.array(*[F.col(f"g{j}") for j in range(k)]), F.col("y") + 1)
-        scored = scored.withColumn("guess", (1 - F.col("c")) * g).withColumn("hit", F.col("c") + F.col("guess"))
-        logs = scored.groupBy("item").agg(
-            *[(F.sum(F.log("guess")) + F.sum(F.when(F.col("y") == j, F.log("hit") - F.log("guess")).otherwise(0.0)) + F.lit(float(np.log(prior[j])))).alias(f"l{j}") for j in range(k)]
-        )
-        top = F.greatest(*[F.col(f"l{j}") for j in range(k)])
-        exps = logs.select("item", *[F.exp(F.col(f"l{j}") - top).alias(f"e{j}") for j in range(k)])
-        z = sum((F.col(f"e{j}") for j in range(1, k)), F.col("e0"))
-        post = materialize(exps.select("item", *[(F.col(f"e{j}") / z).alias(f"p{j}") for j in range(k)]), "posterior")
-        if step == steps:
-            return post, params
+        post = materialize(_joined_posterior(scored, prior), "posterior")
         t = F.element_at(F.array(*[F.col(f"p{j}") for j in range(k)]), F.col("y") + 1) * F.col("c") / F.col("hit")
-        stats = scored.join(post, "item").withColumn("t", t).groupBy("annotator").agg(
-            ((F.sum("t") + smoothing) / (F.count("*") + 2 * smoothing)).alias("c"),
+        stats = _rated(scored, k).join(post, "item").withColumn("t", t).groupBy("annotator").agg(
+            ((F.sum("t") + smoothing) / (F.count("*") + 2 * smoothing)).alias("new"),
+            F.first("c").alias("old"),
             *[(F.sum(F.when(F.col("y") == j, 1 - F.col("t")).otherwise(0.0)) + smoothing).alias(f"n{j}") for j in range(k)],
         )
         n = sum((F.col(f"n{j}") for j in range(1, k)), F.col("n0"))
-        params = materialize(stats.select("annotator", "c", *[(F.col(f"n{j}") / n).alias(f"g{j}") for j in range(k)]), "annotators")
+        new = materialize(stats.select("annotator", F.col("new").alias("c"), "old", *[(F.col(f"n{j}") / n).alias(f"g{j}") for j in range(k)]), "annotators")
+        discard(params)
+        moved = new.agg(F.max(F.abs(F.col("c") - F.col("old")))).first()[0]
+        params = new.drop("old")
         sums = post.agg(*[F.sum(f"p{j}").alias(f"p{j}") for j in range(k)]).first()
         classes = np.array([sums[f"p{j}"] or 0.0 for j in range(k)])
         prior = ((classes + 1) / (classes.sum() + k)).tolist()
-    raise AssertionError
+        if moved < tolerance:
+            break
+    return params, prior, post
 
 
 def consensus(votes: DataFrame, labels: list[str], max_annotators: int = 50_000, steps: int = 60, smoothing: float = 0.5) -> tuple[DataFrame, DataFrame]:
@@ -193,8 +233,8 @@ def consensus(votes: DataFrame, labels: list[str], max_annotators: int = 50_000,
     k = len(labels)
     pairs = F.try_divide(sum((F.col(f"n{j}") * (F.col(f"n{j}") - 1) for j in range(1, k)), F.col("n0") * (F.col("n0") - 1)).cast("double"), F.col("n_votes") * (F.col("n_votes") - 1))
     if len(per) > max_annotators:
-        post, params = _joined_steps(valid, labels, min(steps, 30), smoothing)
-        counts = valid.groupBy("item").agg(F.count("*").alias("n_votes"), *[F.count(F.when(F.col("label") == x, 1)).alias(f"n{j}") for j, x in enumerate(labels)])
+        post, params, read = _joined_fit(valid, labels, steps, smoothing)
+        counts = read.groupBy("item").agg(F.count("*").alias("n_votes"), *[F.count(F.when(F.col("y") == j, 1)).alias(f"n{j}") for j in range(k)])
         top = F.greatest(*[F.col(f"p{j}") for j in range(k)])
         best = F.coalesce(*[F.when(F.col(f"p{j}") >= top - 1e-12, F.lit(x)) for j, x in enumerate(labels)])
         items = post.join(counts, "item").select("item", best.alias("choice"), top.alias("posterior"), pairs.alias("agreement"), "n_votes")

@@ -50,6 +50,15 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Removes a table of ``materialize`` that nothing reads any more."""
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+        p = jvm.org.apache.hadoop.fs.Path(folder)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` in enough partitions for all cores, for work that costs much per row; large inputs have them already."""
     wanted = 3 * df.sparkSession.sparkContext.defaultParallelism

@@ -61,3 +61,18 @@ def test_spelling_and_empty_tables(spark):
     assert [r[0] for r in df.select(normal_label(F.col("c"), LABELS)).collect()] == ["A", "A", "both", "unclear", None, None, None, None, None, None]
     items, people = consensus(df.limit(0).selectExpr("1L as item", "c as annotator", "c as choice", "1 as at", "1L as vote_id"), LABELS)
     assert items.count() == 0 and people.count() == 0
+
+
+def test_both_paths_give_the_same_results(spark):
+    """Exchanged label names are seen, and the steps end, beyond the annotator bound too."""
+    _, rows = votes(300)
+    df = spark.createDataFrame(rows, SCHEMA)
+    (items, people), (joined_items, joined_people) = consensus(df, LABELS), consensus(df, LABELS, max_annotators=0)
+    assert joined_items.columns == items.columns and joined_people.columns == people.columns
+    a, b = ({r.item: r for r in x.collect()} for x in (items, joined_items))
+    assert {i: (r.choice, r.n_votes, r.agreement) for i, r in a.items()} == {i: (r.choice, r.n_votes, r.agreement) for i, r in b.items()}
+    assert all(abs(r.posterior - b[i].posterior) < 1e-6 for i, r in a.items())
+    a, b = ({r.annotator: r for r in x.collect()} for x in (people, joined_people))
+    assert a.keys() == b.keys() and a["swap"].reliability > 0.75
+    for x, r in a.items():
+        assert r.n_votes == b[x].n_votes and max(abs(u - v) for u, v in zip([r.reliability, *r.guesses], [b[x].reliability, *b[x].guesses])) < 1e-6
