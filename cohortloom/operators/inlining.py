@@ -12,6 +12,7 @@ The walk over one record touches only that record, so the shredding needs no shu
 from __future__ import annotations
 
 import json
+import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -121,13 +122,13 @@ class ElementGraph:
 
 
 _decoder = json.JSONDecoder()
+#: Starts of objects and lists that are encoded as strings, once or more often.
+_ENCODED = re.compile(r'"\s*(?:\\+["nrt]\s*)*[{\[]')
 
 
 def _as_object(value: object) -> object:
-    """An object, or a list, that was given as JSON text is that object."""
-    for _ in range(3):
-        if not isinstance(value, str):
-            break
+    """An object, or a list, that was given as JSON text is that object, however often it was encoded."""
+    while isinstance(value, str):
         text = value.strip()
         if text[:1] not in ("{", "[", '"') or len(text) < 2:
             break
@@ -138,20 +139,17 @@ def _as_object(value: object) -> object:
     return value
 
 
-def _search(value: object, signature: frozenset[str], depth: int = 0) -> dict | None:
-    value = _as_object(value)
-    if isinstance(value, dict):
-        if signature <= value.keys():
-            return value
-        inner = value.values()
-    elif isinstance(value, list):
-        inner = value
-    else:
-        return None
-    if depth < 8:
-        for x in inner:
-            if (found := _search(x, signature, depth + 1)) is not None:
-                return found
+def _search(value: object, signature: frozenset[str]) -> dict | None:
+    """The first object, in document order, with all the keys; an explicit stack bears any depth."""
+    stack = [value]
+    while stack:
+        value = _as_object(stack.pop())
+        if isinstance(value, dict):
+            if signature <= value.keys():
+                return value
+            stack += reversed(value.values())
+        elif isinstance(value, list):
+            stack += reversed(value)
     return None
 
 
@@ -185,13 +183,19 @@ def find_record(text: str | None, signature: frozenset[str]) -> dict | None:
         if (found := _search(value, signature)) is not None:
             return found
         pos = end
-    at = text.find('"{')
-    if at >= 0:
+    pos = 0
+    while m := _ENCODED.search(text, pos):
         try:
-            value, _ = _decoder.raw_decode(text, at)
-        except (ValueError, RecursionError):
-            return None
-        return _search(value, signature)
+            value, end = _decoder.raw_decode(text, m.start())
+        except json.JSONDecodeError as e:
+            # every start before the fault runs into the same fault
+            if e.pos <= m.start():
+                break
+            pos = e.pos
+            continue
+        if (found := _search(value, signature)) is not None:
+            return found
+        pos = end - 1
     return None
 
 

@@ -62,3 +62,19 @@ def test_inferred_graph(spark):
     g = infer_graph(df, "t", FACT_SIGNATURE, "fact")
     assert "perturbations" in g.relations and "cell_context" not in g.relations
     assert "targets" in g.all_relations() and "ambiguity_flags" not in g.all_relations()  # a single bare value shows no list
+
+
+def test_deep_and_repeated_wrapping_is_looked_through():
+    deep, encoded = FACT, TEXT
+    for k in range(40):
+        deep = {"r": deep} if k % 2 else [deep]
+    for _ in range(6):
+        encoded = json.dumps(encoded)
+    cases = [json.dumps(deep), encoded, 'As "{x}" or "{" says: ' + json.dumps(TEXT), "So: " + json.dumps(f"[{TEXT}]"), 'A "{\n" and then ' + json.dumps(json.dumps(TEXT)), json.dumps({"a": [json.dumps(deep)]})]
+    for text in cases:
+        assert find_record(text, FACT_SIGNATURE) == FACT, text[:40]
+
+
+def test_many_encoded_starts_are_not_quadratic():
+    for text in ('"{' * 200_000, '\\"{' * 200_000, '"{' + '\\"{' * 200_000 + "\n", '"{"' * 100_000):
+        assert find_record(text, FACT_SIGNATURE) is None
