@@ -233,8 +233,9 @@ def map_values(values: DataFrame, reference: DataFrame, shard_rows: int = 20_000
         F.lower(F.regexp_extract("synonyms", r" of (?:the )?([^|]+)", 1)).alias("noun"),
         F.lower(F.regexp_extract("preferred_name", r"^\S+ (\S+)$", 1)).alias("kind"),
     )
-    learned = pairs.filter("adjective <> '' and noun <> ''").groupBy("adjective").agg(F.min("noun").alias("noun")).limit(10_000).collect()
-    organs = ORGANS | {r.adjective: r.noun for r in learned}
+    learned = pairs.filter("adjective <> '' and noun <> ''").groupBy("adjective").agg(F.min("noun").alias("noun"))
+    if shards > 1:
+        learned = materialize(learned, "organs")
     distinct = materialize(values.filter(F.col("value").isNotNull() & F.col("vocab").isNotNull()).select("vocab", "value").distinct(), "distinct-values")
     # the search costs milliseconds a value, so the distinct values are spread whatever their bytes
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
@@ -243,6 +244,11 @@ def map_values(values: DataFrame, reference: DataFrame, shard_rows: int = 20_000
     results = []
     for s in range(shards):
         rows = [tuple(r) for r in ref.filter(F.pmod(F.xxhash64("ref_id"), F.lit(shards)) == s).collect()]
+        # a shard needs the organs of its own adjectives only, however many the list has
+        own = {w[0] for r in rows if len(w := tokens(r[2] or "")) == 2}
+        organs = dict(ORGANS)
+        if own:
+            organs |= {r.adjective: r.noun for r in learned.join(spark.createDataFrame([(x,) for x in sorted(own)], "adjective string"), "adjective", "left_semi").collect()}
         shipped = spark.sparkContext.broadcast((rows, organs))
 
         def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:

@@ -1,3 +1,4 @@
+import itertools
 import random
 
 from hypothesis import given, settings
@@ -67,3 +68,12 @@ def test_shards_merge_to_the_same_winners(spark):
     whole = {r.value: r.ref_id for r in map_values(values, ref).collect()}
     cut = {r.value: r.ref_id for r in map_values(values, ref, shard_rows=15).collect()}
     assert whole == cut and whole["zzzzzzzz-1"] is None
+
+
+def test_all_learned_organs_are_used(spark):
+    """More adjectives than were once kept; each entry has a vocabulary of its own, so the trees are small."""
+    names = ["".join(x) for x in itertools.islice(itertools.product("bcdfghklmnprtvz", repeat=4), 10_060)]
+    ref = spark.createDataFrame([(f"R{x}", x, f"{x}ic sarcoma", f"sarcoma of the {x}um") for x in names], "ref_id string, vocab string, preferred_name string, synonyms string")
+    values = spark.createDataFrame([(x, f"{x}um sarcoma") for x in names], "vocab string, value string")
+    got = map_values(values, ref).collect()
+    assert len(got) == len(names) and all(r.ref_id == f"R{r.vocab}" and r.distance == 0 for r in got)
