@@ -157,11 +157,28 @@ def is_refusal(answer: str) -> bool:
 _OPEN, _CLOSE = "([{«“", ")]}»”"
 
 
+_ITEM = re.compile(r"[ \t]*(?:[-*+•]|(\d{1,3})[.)]|([a-z])[.)])(?=\s|$)")
+
+
 def left_open(text: str) -> bool:
-    """Pushdown parse of fences, inline code, brackets, quotations, emphasis and tags: is something open at the end?"""
+    """Pushdown parse of fences, inline code, brackets, quotations, emphasis, tags and list items: is something open at the end?
+
+    A list item is open until something other than blanks follows its marker. A number or letter is a marker where
+    the one before it was, or where it is the first and something stands before it; else it may be the answer itself.
+    """
     stack: list[str] = []
+    marked: set[tuple[bool, int]] = set()
+    item = -1  # where the content of an item without any starts
     i, n = 0, len(text)
     while i < n:
+        if item >= 0 and i >= item and not text[i].isspace():
+            item = -1
+        if (i == 0 or text[i - 1] == "\n") and not (stack and stack[-1] == "```") and (m := _ITEM.match(text, i)):
+            at = (bool(m[1]), int(m[1]) if m[1] else ord(m[2]) - 96) if m[1] or m[2] else None
+            if at is None or (at[0], at[1] - 1) in marked or at[1] == 1 and text[:i].strip():
+                item = m.end()
+            if at:
+                marked.add(at)
         if text.startswith("```", i):
             if stack and stack[-1] == "```":
                 stack.pop()
@@ -209,7 +226,7 @@ def left_open(text: str) -> bool:
                 stack.append(tag)
             i += len(m[0]) - 1
         i += 1
-    return bool(stack)
+    return bool(stack) or item >= 0
 
 
 def shape_words(sentence: str) -> list[str]:

@@ -63,3 +63,10 @@ def test_corpus_decides_on_missing_full_stops(spark):
     got = broken_pairs(df, "call_id", "prompt", "reasoning").collect()
     assert sorted(map(tuple, got)) == [(101, "truncated"), (102, "truncated"), (103, "empty"), (103, "empty"), (104, "empty")]
     assert broken_pairs(df.limit(0), "call_id", "prompt", "reasoning").count() == 0
+
+
+def test_list_items_left_open():
+    for text in ("1. first.\n2.", "Reasons:\n1.", "a) one.\nb) ", "It is A.\n* one.\n*", "It is A.\n- one.\n  -\n\n", "1) one.\n2) two.\n3)", "Because:\n•"):
+        assert left_open(text) and local_defect("Which series is it?", text)[0] == "truncated", text
+    for text in ("1. first.\n2. second.", "2.", "1.", "The answer is\n2.", "It is A.\n- one.\n---", "1.\n2.\nBoth.", "- one.\n-\n  two.", "```\n-\n```", "It is (see\n1) A.", "a. One.\nThe end."):
+        assert not left_open(text), text
