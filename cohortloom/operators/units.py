@@ -1,14 +1,18 @@
 """Quantities recorded in different units: a hidden Markov model per device decodes each value's unit.
 
-The hidden state of a record is its unit. A unit that the record itself states clamps the state; where it
-states none, the state is drawn by the jump of the log value against the device's smooth underlying level
-(a moving mean over neighbouring time windows of the amounts whose unit is stated). Viterbi decoding gives
+The hidden state of a record is its unit, and the amount behind the record moves smoothly from one record of a
+device to the next. So the score of a step from unit to unit has two parts: the odds that the unit is kept or
+switched, and the density of the jump that the log amount would then make, log value plus log unit against the same
+sum of the record before. A switch of the unit shows as a jump of the written value that the level doesn't share;
+jumps have a floor, since the level itself may break. Where a level begins, the spread of all stated amounts of the
+base unit tells the units apart. A unit that the record states is evidence of ``stated_odds``. Viterbi decoding gives
 the most probable unit of every record.
 
-A device may hold any share of the rows: rows are range-partitioned by (device, time, id) into blocks of
-bounded size, each block is summed up by its max-plus transfer between the states at its two ends, the ends
-are fixed over these sums, and every block is then decoded on its own. The result equals one Viterbi pass
-over the whole device.
+A device may hold any share of the rows: rows are range-partitioned by (device, time, id) into blocks of bounded
+size, each block is summed up by the max-plus matrix between the states of its first and last row of a device, these
+are multiplied up in a tree of bounded fan-in, the states at the cuts come down the same tree, and every block is
+then decoded on its own. No step gathers more than a bounded number of matrices in one task and nothing grows on the
+driver. The result is a best path of one Viterbi pass over the whole device.
 """
 
 from __future__ import annotations
@@ -29,26 +33,26 @@ from ..workspace import materialize, spread
 
 @dataclass(frozen=True)
 class UnitModel:
-    """``states``: (base unit, size in base units); ``stay``: probability that the unit is kept; ``sigma``: spread of log10 amounts about the level."""
+    """Hidden states and their odds.
+
+    ``states``: (base unit, size in base units); ``stay``: probability that the unit is kept; ``sigma``: spread of the
+    log10 jump of the amount between neighbouring records; ``stray``: probability of a jump to anywhere within
+    ``decades``; ``stated_odds``: log odds of a unit that the record states, None for more than any jumps and switches
+    around it can outweigh.
+    """
 
     states: tuple[tuple[str, Fraction], ...]
     stay: float = 0.9
     sigma: float = 1.0
-    window_seconds: int = 86_400
+    stray: float = 0.01
+    decades: float = 20.0
+    stated_odds: float | None = None
     block_rows: int = 50_000
-
-    @property
-    def bases(self) -> list[str]:
-        return sorted({b for b, _ in self.states})
+    fan_in: int = 64
 
     def index(self) -> dict[tuple[str, Fraction], int]:
         return {s: i for i, s in enumerate(self.states)}
 
-    def transitions(self, prior: np.ndarray) -> np.ndarray:
-        t = np.log((1 - self.stay) * prior)[None, :].repeat(len(prior), 0)
-        t[np.diag_indices(len(prior))] = np.log(self.stay + (1 - self.stay) * prior)
-        return t
-
 
 DOSE_MODEL = UnitModel(tuple(sorted(set(DOSE_UNITS.values()))))
 DURATION_MODEL = UnitModel(tuple(sorted({("s", s) for s in SPAN_UNITS.values()})))
@@ -99,197 +103,237 @@ def parsed_quantities(df: DataFrame, id_col: str, device_col: str, time_col: str
     return spread(rows).mapInPandas(run, "row_id long, device string, at long, number string, log_value double, stated int")
 
 
-def with_levels(rows: DataFrame, model: UnitModel) -> DataFrame:
-    """Adds ``levels``, the smooth log10 level of each base unit, to the rows that state no unit.
+class Decoder:
+    """Scores and Viterbi passes over the states that the data show.
 
-    The level of a device is the mean over a time window and its two neighbours; a base unit that the
-    device doesn't show there takes the mean over all devices.
+    ``counts``: the stated rows of each state of the model; ``sums``: number, sum and sum of squares of their log values.
     """
-    bases = model.bases
-    window = model.window_seconds * 1_000_000
-    base_of = F.array(*[F.lit(bases.index(b)) for b, _ in model.states])
-    size_of = F.array(*[F.lit(float(math.log10(s))) for _, s in model.states])
-    stated = rows.filter(F.col("stated").isNotNull() & F.col("log_value").isNotNull()).select(
-        "device",
-        F.floor(F.col("at") / window).alias("w"),
-        F.element_at(base_of, F.col("stated") + 1).alias("base"),
-        (F.col("log_value") + F.element_at(size_of, F.col("stated") + 1)).alias("x"),
-    )
-    sums = stated.groupBy("device", "w").agg(
-        *[F.sum(F.when(F.col("base") == i, F.col("x"))).alias(f"s{i}") for i in range(len(bases))],
-        *[F.count(F.when(F.col("base") == i, F.col("x"))).alias(f"n{i}") for i in range(len(bases))],
-    )
-    near = (
-        sums.withColumn("w", F.explode(F.array(F.col("w") - 1, F.col("w"), F.col("w") + 1)))
-        .groupBy("device", "w")
-        .agg(F.array(*[F.try_divide(F.sum(f"s{i}"), F.sum(f"n{i}")) for i in range(len(bases))]).alias("near"))
-    )
-    overall = stated.groupBy().agg(F.array(*[F.coalesce(F.avg(F.when(F.col("base") == i, F.col("x"))), F.lit(0.0)) for i in range(len(bases))]).alias("overall")).first()
-    overall_levels = F.array(*[F.lit(float(x)) for x in (overall["overall"] if overall else [0.0] * len(bases))])
-    bare = rows.filter(F.col("stated").isNull()).withColumn("w", F.floor(F.col("at") / window))
-    bare = bare.join(near, ["device", "w"], "left").withColumn(
-        "levels", F.when(F.col("near").isNull(), overall_levels).otherwise(F.zip_with("near", overall_levels, lambda a, b: F.coalesce(a, b)))
-    )
-    columns = ["row_id", "device", "at", "number", "log_value", "stated", "levels"]
-    known = rows.filter(F.col("stated").isNotNull()).withColumn("levels", F.lit(None).cast("array<double>"))
-    return known.select(*columns).unionByName(bare.select(*columns))
-
 
-class Decoder:
-    """Viterbi over one device's run of rows, as a whole or in blocks."""
-
-    def __init__(self, model: UnitModel, prior: np.ndarray) -> None:
-        bases = model.bases
-        self.base = np.array([bases.index(b) for b, _ in model.states])
-        self.size = np.array([math.log10(s) for _, s in model.states])
-        self.sigma, self.prior, self.t, self.k = model.sigma, np.log(prior), model.transitions(prior), len(prior)
-
-    def emission(self, log_value: float | None, levels: object) -> np.ndarray:
-        if log_value is None or log_value != log_value or levels is None:
-            return np.zeros(self.k)
-        return -0.5 * ((log_value + self.size - np.asarray(levels)[self.base]) / self.sigma) ** 2
-
-    def summary(self, stated: list, emissions: list) -> tuple[list[float] | None, list[float] | None, list[float] | None]:
-        """(scores from each entering state to the first clamp, scores from the last clamp to each leaving state, the whole matrix if no clamp)."""
-        clamps = [i for i, s in enumerate(stated) if s >= 0]
-        if not clamps:
-            m = np.full((self.k, self.k), -np.inf)
-            np.fill_diagonal(m, 0)
-            for e in emissions:
-                m = (m[:, :, None] + self.t[None, :, :]).max(1) + e[None, :]
-            return None, None, m.ravel().tolist()
-        into = self.t[:, stated[clamps[0]]].copy()
-        for i in range(clamps[0] - 1, -1, -1):
-            into = (self.t + (emissions[i] + into)[None, :]).max(1)
-        out = np.full(self.k, -np.inf)
-        out[stated[clamps[-1]]] = 0
-        for e in emissions[clamps[-1] + 1 :]:
-            out = (out[:, None] + self.t).max(0) + e
-        return into.tolist(), out.tolist(), None
-
-    def decode(self, stated: list, emissions: list, before: int | None, last: int | None) -> list[int]:
-        """The best path, entering from state ``before`` (None: the prior) and leaving in state ``last`` (None: free)."""
-        n, path = len(stated), [int(s) for s in stated]
-        i = 0
-        while i < n:
-            if stated[i] >= 0:
-                i += 1
-                continue
-            j = i
-            while j < n and stated[j] < 0:
-                j += 1
-            enter = path[i - 1] if i else before
-            v = (self.prior if enter is None else self.t[enter]) + emissions[i]
-            back = []
-            for r in range(i + 1, j):
-                scores = v[:, None] + self.t
-                back.append(scores.argmax(0))
-                v = scores.max(0) + emissions[r]
-            if j < n:
-                v = v + self.t[:, stated[j]]
-                s = int(v.argmax())
-            else:
-                s = int(v.argmax()) if last is None else last
-            for r in range(j - 1, i - 1, -1):
-                path[r] = s
-                if r > i:
-                    s = int(back[r - i - 1][s])
-            i = j
+    def __init__(self, model: UnitModel, counts: dict[int, int], sums: dict[int, tuple[int, float, float]] | None = None) -> None:
+        self.states = [i for i in range(len(model.states)) if counts.get(i)] or list(range(len(model.states)))
+        self.k = len(self.states)
+        self.code = np.full(len(model.states) + 1, -1)
+        self.code[self.states] = range(self.k)
+        prior = np.array([counts.get(i, 0) + 1.0 for i in self.states])
+        self.prior = np.log(prior / prior.sum())
+        self.t = np.log((1 - model.stay) * np.exp(self.prior))[None, :].repeat(self.k, 0)
+        self.t[np.diag_indices(self.k)] = np.log(model.stay + (1 - model.stay) * np.exp(self.prior))
+        size = np.array([math.log10(model.states[i][1]) for i in self.states])
+        base = np.array([model.states[i][0] for i in self.states])
+        self.shift = (size[None, :] - size[:, None]) / model.sigma
+        self.apart = base[None, :] != base[:, None]
+        self.sigma, self.size = model.sigma, size
+        self.mean, self.spread = np.zeros(self.k), np.full(self.k, 3.0)
+        for b in set(base):
+            own = [(n, t + n * c, q + 2 * c * t + n * c * c) for i, c, x in zip(self.states, size, base) if x == b for n, t, q in [(sums or {}).get(i, (0, 0.0, 0.0))]]
+            n, t, q = map(sum, zip(*own))
+            if n:
+                # one more amount a decade off the mean, so that few amounts don't make a narrow level
+                self.mean[base == b], self.spread[base == b] = t / n, math.sqrt((max(0.0, q - t * t / n) + 1) / (n + 1))
+        self.floor = math.log(model.stray / model.decades * model.sigma * math.sqrt(2 * math.pi) / (1 - model.stray))
+        most = 2 * (float(self.t.max() - self.t.min()) - self.floor) + float(self.prior.max() - self.prior.min())
+        most += float(np.log(self.spread).max() - np.log(self.spread).min()) - self.floor
+        self.odds = most + 1 if model.stated_odds is None else model.stated_odds
+
+    def steps(self, jump: np.ndarray) -> np.ndarray:
+        """(rows x from x to): scores of the steps into rows whose log value is ``jump`` above that of the row before; nan where either has none."""
+        z = (jump / self.sigma)[:, None, None] + self.shift
+        near = -0.5 * z * z
+        near[:, self.apart] = self.floor
+        return np.fmax(near, self.floor) + self.t
+
+    def evidence(self, x: np.ndarray, stated: np.ndarray) -> np.ndarray:
+        """(rows x states): what the row itself says, by its stated unit and by the amount that its value would be."""
+        z = (x[:, None] + self.size - self.mean) / self.spread
+        e = np.fmax(-0.5 * z * z, self.floor) - np.log(self.spread)
+        e[np.isnan(x)] = 0
+        known = np.flatnonzero(stated >= 0)
+        own = e[known, stated[known]]
+        e[known] -= self.odds
+        e[known, stated[known]] = own
+        return e
+
+    def matrix(self, x: np.ndarray, stated: np.ndarray) -> np.ndarray:
+        """Best scores from each state of the first row to each state of the last."""
+        e = self.evidence(x, stated)
+        m = np.full((self.k, self.k), -np.inf)
+        np.fill_diagonal(m, e[0])
+        for s in range(1, len(x), 512):
+            for step, own in zip(self.steps(x[s : s + 512] - x[s - 1 : len(x) - 1][: 512]), e[s : s + 512]):
+                m = (m[:, :, None] + step[None]).max(1) + own
+        return m
+
+    def enter(self, state: int, jump: float) -> np.ndarray:
+        """Scores of the first row's states behind a row in ``state``, or at the start of a device (-1)."""
+        return self.prior if state < 0 else self.steps(np.array([jump]))[0, state]
+
+    def decode(self, x: np.ndarray, stated: np.ndarray, edges: list[int], enter: np.ndarray, before: np.ndarray, leave: np.ndarray) -> np.ndarray:
+        """The best path of each run ``edges[i]:edges[i + 1]``, all runs stepped side by side.
+
+        ``enter``, ``before``: state and log value of the row before the run (-1: the device starts); ``leave``: the
+        state of its last row (-1: free).
+        """
+        starts, sizes = np.array(edges[:-1]), np.diff(edges)
+        order = np.argsort(-sizes, kind="stable")
+        starts, sizes, enter, before, leave = starts[order], sizes[order], enter[order], before[order], leave[order]
+        e = self.evidence(x, stated)
+        back = np.zeros((len(x), self.k), dtype="int16")
+        path = np.zeros(len(x), dtype="int64")
+        v = np.where((enter < 0)[:, None], self.prior, self.steps(x[starts] - before)[np.arange(len(starts)), enter]) + e[starts]
+        ends = np.where(leave >= 0, leave, 0)
+        longest = int(sizes[0])
+        active = len(starts)
+        for t in range(longest):
+            if t:
+                at = starts[:active] + t
+                scores = v[:active, :, None] + self.steps(x[at] - x[at - 1])
+                back[at] = scores.argmax(1)
+                v = scores.max(1) + e[at]
+            still = int(np.searchsorted(-sizes, -(t + 1), side="left"))
+            done = np.arange(still, active)
+            ends[done] = np.where(leave[done] >= 0, leave[done], v[still:active].argmax(1))
+            v, active = v[:still], still
+        state = ends.copy()
+        for t in range(longest - 1, -1, -1):
+            active = int(np.searchsorted(-sizes, -t, side="left"))
+            at = starts[:active] + t
+            path[at] = state[:active]
+            state[:active] = back[at, state[:active]]
         return path
 
 
-def fix_ends(summaries: list, decoder: Decoder) -> tuple[dict[int, int], dict[int, int]]:
-    """States at the block boundaries that cut a device: by block, the state before its first row and that of its last row."""
+_SEGMENT = "device string, idx long, first_x double, last_x double, m array<double>"
+_CUT = "device string, idx long, enter int, before double, leave int"
+
+
+def multiply_up(segments: DataFrame, decoder: Decoder, fan_in: int) -> DataFrame:
+    """Segments of a device, ``fan_in`` neighbours each, put together; their ``idx`` is divided by ``fan_in``."""
     k = decoder.k
-    runs = sorted(summaries, key=lambda r: r.block)
-    before: dict[int, int] = {}
-    last: dict[int, int] = {}
-    start = 0
-    while start < len(runs):
-        stop = start
-        while stop + 1 < len(runs) and runs[stop + 1].first_device == runs[stop].last_device and (stop == start or runs[stop].whole):
-            stop += 1
-        chain = runs[start : stop + 1]
-        if len(chain) > 1:
-            after = [np.zeros(k) for _ in chain]
-            for i in range(len(chain) - 2, -1, -1):
-                r = chain[i + 1]
-                after[i] = np.array(r.first_into) if r.first_matrix is None else (np.array(r.first_matrix).reshape(k, k) + after[i + 1][None, :]).max(1)
-            r = chain[0]
-            if r.last_matrix is None:
-                v = np.array(r.last_out)
-            else:
-                m = np.array(r.last_matrix).reshape(k, k)
-                enter = before.get(r.block) if r.whole else None
-                # the prior stands in place of the transition into the first row
-                v = m[enter] if enter is not None else None
-                if v is None:
-                    v = np.array(r.last_prior)
-            for i in range(len(chain) - 1):
-                s = int((v + after[i]).argmax())
-                last[chain[i].block], before[chain[i + 1].block] = s, s
-                r = chain[i + 1]
-                v = np.array(r.last_out) if r.first_matrix is None else np.array(r.first_matrix).reshape(k, k)[s]
-        start = stop if stop > start else start + 1
-    return before, last
+
+    def up(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values("idx")
+        m = g["m"].iloc[0].reshape(k, k)
+        x = g["last_x"].to_numpy(dtype="float64")
+        for jump, own in zip(g["first_x"].to_numpy(dtype="float64")[1:] - x[:-1], g["m"].iloc[1:]):
+            step = decoder.steps(np.array([jump]))[0]
+            m = ((m[:, :, None] + step[None]).max(1)[:, :, None] + own.reshape(k, k)[None]).max(1)
+        return pd.DataFrame({"device": g["device"].iloc[:1], "idx": g["idx"].iloc[:1] // fan_in, "first_x": g["first_x"].iloc[:1], "last_x": x[-1:], "m": [m.ravel()]})
+
+    return segments.groupBy("device", F.floor(F.col("idx") / fan_in)).applyInPandas(lambda key, g: up(g), _SEGMENT)
+
+
+def hand_down(segments: DataFrame, cuts: DataFrame | None, decoder: Decoder, fan_in: int) -> DataFrame:
+    """The states at both ends of each segment, given those of the groups of segments above; None: the devices' own segments."""
+    k = decoder.k
+
+    def down(g: pd.DataFrame, enter: int, before: float, leave: int) -> pd.DataFrame:
+        g = g.sort_values("idx")
+        first, last = g["first_x"].to_numpy(dtype="float64"), g["last_x"].to_numpy(dtype="float64")
+        ms = [m.reshape(k, k) for m in g["m"]]
+        v = (decoder.enter(enter, first[0] - before)[:, None] + ms[0]).max(0)
+        back = []
+        for i in range(1, len(ms)):
+            hop = (decoder.steps(first[i : i + 1] - last[i - 1 : i])[0][:, :, None] + ms[i][None]).max(1)
+            scores = v[:, None] + hop
+            back.append(scores.argmax(0))
+            v = scores.max(0)
+        state = int(v.argmax()) if leave < 0 else leave
+        leaves = [state]
+        for b in reversed(back):
+            leaves.append(state := int(b[state]))
+        leaves.reverse()
+        return pd.DataFrame({"device": g["device"], "idx": g["idx"], "enter": [enter, *leaves[:-1]], "before": [before, *last[:-1]], "leave": leaves})
+
+    if cuts is None:
+        return segments.groupBy("device").applyInPandas(lambda key, g: down(g, -1, math.nan, -1), _CUT)
+
+    def both(key: tuple, g: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        return down(g, int(c["enter"].iloc[0]), float(c["before"].iloc[0]), int(c["leave"].iloc[0]))
+
+    grouped = segments.groupBy("device", F.floor(F.col("idx") / fan_in).alias("up"))
+    return grouped.cogroup(cuts.groupBy("device", F.col("idx").alias("up"))).applyInPandas(both, _CUT)
+
+
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Whole blocks, out of batches in the order of (block, device, at, row_id)."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        if not len(b):
+            continue
+        if held and b["block"].iloc[0] != held[-1]["block"].iloc[-1]:
+            yield pd.concat(held, ignore_index=True)
+            held = []
+        cut = int((b["block"] != b["block"].iloc[-1]).sum())
+        if cut:
+            yield pd.concat([*held, b.iloc[:cut]], ignore_index=True)
+            held, b = [], b.iloc[cut:]
+        held.append(b)
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
+def _edges(block: pd.DataFrame) -> list[int]:
+    d, n = block["device"].to_numpy(), block["block"].to_numpy()
+    return [0, *(np.flatnonzero((d[1:] != d[:-1]) | (n[1:] != n[:-1])) + 1).tolist(), len(d)]
 
 
 def decode_units(rows: DataFrame, model: UnitModel, n_rows: int) -> DataFrame:
-    """Decoded unit of every row of ``parsed_quantities``: row_id, base_unit, amount, evidence (``stated`` or ``inferred``).
+    """Decoded unit of every row of ``parsed_quantities``: row_id, base_unit, amount, evidence.
 
-    Equal times are ordered by id, repeated rows each keep their row, an empty table gives none, and an
-    amount beyond a bigint is null.
+    ``evidence`` is ``stated`` where the path goes through the unit that the row states, ``corrected`` where it goes
+    through another (only with a ``stated_odds`` of one's own), and ``inferred`` where the row states none. States are
+    the units that some row states. Equal times are ordered by id, repeated rows each keep their row, zeros have no
+    jump, an empty table gives none, and an amount beyond a bigint is null.
     """
-    counts = {r["stated"]: r["count"] for r in rows.filter(F.col("stated").isNotNull()).groupBy("stated").count().collect()}
-    prior = np.array([counts.get(i, 0) + 1.0 for i in range(len(model.states))])
-    decoder = Decoder(model, prior / prior.sum())
+    x = F.col("log_value")
+    seen = rows.filter(F.col("stated").isNotNull()).groupBy("stated").agg(F.count("*").alias("n"), F.count(x).alias("m"), F.coalesce(F.sum(x), F.lit(0.0)).alias("t"), F.coalesce(F.sum(x * x), F.lit(0.0)).alias("q")).collect()
+    decoder = Decoder(model, {r.stated: r.n for r in seen}, {r.stated: (r.m, r.t, r.q) for r in seen})
     blocks = max(1, math.ceil(n_rows / model.block_rows))
-    order = ["device", "at", "row_id"]
-    cut = materialize(with_levels(rows, model).repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id()), "unit-blocks")
-
-    def arrays(g: pd.DataFrame) -> tuple[list, list]:
-        stated = [-1 if s is None or s != s else int(s) for s in g["stated"]]
-        return stated, [None if s >= 0 else decoder.emission(x, lv) for s, x, lv in zip(stated, g["log_value"], g["levels"])]
-
-    def sum_up(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order, kind="stable")
-        devices = g["device"].to_numpy()
-        head, tail = g[devices == devices[0]], g[devices == devices[-1]]
-        whole = devices[0] == devices[-1]
-        first = decoder.summary(*arrays(head))
-        stated, emissions = arrays(tail)
-        end = first if whole else decoder.summary(stated, emissions)
-        last_prior = None
-        if end[2] is not None:
-            v = decoder.prior + emissions[0]
-            for e in emissions[1:]:
-                v = (v[:, None] + decoder.t).max(0) + e
-            last_prior = v.tolist()
-        return pd.DataFrame([(int(g["block"].iloc[0]), devices[0], devices[-1], whole, first[0], first[2], end[1], end[2], last_prior)], columns=[f.split()[0] for f in fields])
-
-    fields = "block int,first_device string,last_device string,whole boolean,first_into array<double>,first_matrix array<double>,last_out array<double>,last_matrix array<double>,last_prior array<double>".split(",")
-    before, last = ({}, {}) if blocks == 1 else fix_ends(cut.groupBy("block").applyInPandas(sum_up, ",".join(fields)).collect(), decoder)
-
-    states = model.states
-
-    def decode(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order, kind="stable")
-        block, devices, out = int(g["block"].iloc[0]), g["device"].to_numpy(), []
-        edges = [0, *(np.flatnonzero(devices[1:] != devices[:-1]) + 1).tolist(), len(devices)]
-        for a, b in zip(edges, edges[1:]):
-            run = g.iloc[a:b]
-            stated, emissions = arrays(run)
-            path = decoder.decode(stated, emissions, before.get(block) if a == 0 else None, last.get(block) if b == len(devices) else None)
-            for key, number, s, p in zip(run["row_id"], run["number"], stated, path):
+    order = ["device", "at", "row_id", "number", "stated"]
+    cut = rows.repartitionByRange(blocks, *order).withColumn("block", F.spark_partition_id()).sortWithinPartitions("block", *order)
+    # a block is one row group of one file, so that one task reads all of it
+    cut = materialize(cut, "unit-blocks", {"parquet.block.size": str(2**30)})
+
+    def sequences(block: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        return block["log_value"].to_numpy(dtype="float64"), decoder.code[block["stated"].fillna(-1).to_numpy(dtype="int64")]
+
+    def sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _runs(batches):
+            x, stated = sequences(b)
+            edges = _edges(b)
+            out = [(b["device"].iloc[s], int(b["block"].iloc[s]), x[s], x[t - 1], decoder.matrix(x[s:t], stated[s:t]).ravel()) for s, t in zip(edges, edges[1:])]
+            yield pd.DataFrame(out, columns=["device", "idx", "first_x", "last_x", "m"])
+
+    # devices that no block cuts need no ends
+    ends = materialize(cut.groupBy("device").agg(F.min("block").alias("_lo"), F.max("block").alias("_hi")).filter("_lo < _hi").select("device"), "cut-devices")
+    touched = cut.join(ends, "device", "left_semi").select(*order, "log_value", "block").sortWithinPartitions("block", *order)
+    levels = [materialize(touched.mapInPandas(sum_up, _SEGMENT), "segments")]
+    width = blocks
+    while width > model.fan_in:
+        levels.append(materialize(multiply_up(levels[-1], decoder, model.fan_in), "segments"))
+        width = math.ceil(width / model.fan_in)
+    known = None
+    for level in reversed(levels):
+        known = materialize(hand_down(level, known, decoder, model.fan_in), "cuts")
+
+    states = [model.states[i] for i in decoder.states]
+
+    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in _runs(batches):
+            x, stated = sequences(b)
+            edges = _edges(b)
+            heads = b.iloc[edges[:-1]]
+            path = decoder.decode(x, stated, edges, heads["enter"].fillna(-1).to_numpy(dtype="int64"), heads["before"].to_numpy(dtype="float64"), heads["leave"].fillna(-1).to_numpy(dtype="int64"))
+            amounts = []
+            for number, p in zip(b["number"], path):
                 top, bottom = number.split("/")
-                base, size = states[p]
-                amount = round(Fraction(int(top), int(bottom)) * size)
-                out.append((key, base, amount if abs(amount) < 2**63 else None, "stated" if s >= 0 else "inferred"))
-        frame = pd.DataFrame(out, columns=["row_id", "base_unit", "amount", "evidence"])
-        frame["amount"] = pd.array([x[2] for x in out], dtype="Int64")
-        return frame
+                amount = round(Fraction(int(top), int(bottom)) * states[p][1])
+                amounts.append(amount if abs(amount) < 2**63 else None)
+            evidence = np.where(stated < 0, "inferred", np.where(stated == path, "stated", "corrected"))
+            yield pd.DataFrame({"row_id": b["row_id"], "base_unit": [states[p][0] for p in path], "amount": pd.array(amounts, dtype="Int64"), "evidence": evidence})
 
-    return cut.groupBy("block").applyInPandas(decode, "row_id long, base_unit string, amount long, evidence string")
+    rows_and_ends = cut.join(known.withColumnRenamed("idx", "block"), ["block", "device"], "left").select("row_id", "device", "at", "number", "log_value", "stated", "block", "enter", "before", "leave")
+    return rows_and_ends.sortWithinPartitions("block", *order).mapInPandas(decode, "row_id long, base_unit string, amount long, evidence string")
 
 
 def common_units(df: DataFrame, id_col: str, device_col: str, time_col: str, agent_col: str, value: str, quantity: str) -> DataFrame:
@@ -297,3 +341,19 @@ def common_units(df: DataFrame, id_col: str, device_col: str, time_col: str, age
     model = DOSE_MODEL if quantity == "dose" else DURATION_MODEL
     rows = materialize(parsed_quantities(df, id_col, device_col, time_col, agent_col, model, quantity, value), f"parsed-{quantity}")
     return decode_units(rows, model, rows.count()).withColumnRenamed("row_id", id_col).withColumn("quantity", F.lit(quantity))
+
+
+def masked_recovery(df: DataFrame, id_col: str, device_col: str, time_col: str, agent_col: str, value: str, quantity: str, share: float = 0.2) -> DataFrame:
+    """How well the model decodes units that it isn't told: one row with quantity, n_masked, n_base (base unit right), n_amount (amount right).
+
+    The stated unit of a share of the rows, drawn by the hash of their id, is hidden and all rows are decoded; zeros
+    aren't scored. No rows give zeros.
+    """
+    model = DOSE_MODEL if quantity == "dose" else DURATION_MODEL
+    rows = materialize(parsed_quantities(df, id_col, device_col, time_col, agent_col, model, quantity, value), f"parsed-{quantity}")
+    n = rows.count()
+    hide = F.pmod(F.xxhash64("row_id"), F.lit(1_000_000)) < int(share * 1_000_000)
+    masked = rows.withColumn("stated", F.when(~hide, F.col("stated")))
+    told = decode_units(rows, model, n).select("row_id", F.col("base_unit").alias("base"), F.col("amount").alias("true_amount"), F.col("evidence").alias("e"))
+    guessed = decode_units(masked, model, n).join(told.filter("e = 'stated' and true_amount > 0"), "row_id").filter(F.col("evidence") == "inferred")
+    return guessed.agg(F.count("*").alias("n_masked"), F.count_if(F.col("base_unit") == F.col("base")).alias("n_base"), F.count_if((F.col("base_unit") == F.col("base")) & (F.col("amount") == F.col("true_amount"))).alias("n_amount")).withColumn("quantity", F.lit(quantity))

@@ -41,12 +41,12 @@ def _drop_all() -> None:
 atexit.register(_drop_all)
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, options: dict[str, str] | None = None) -> DataFrame:
     """Writes ``df`` once to the shared folder and reads it back; the folder is removed when the program ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cohortloom/{tag}-{uuid.uuid4().hex}"
     _made.append((spark, path))
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
