@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.quantities import DOSE_UNITS, SPAN_UNITS, parse_dose, parse_duration
-from ..workspace import materialize, spread
+from ..workspace import materialize, spread, whole_groups
 
 
 @dataclass(frozen=True)
@@ -254,27 +254,9 @@ def hand_down(segments: DataFrame, cuts: DataFrame | None, decoder: Decoder, fan
     return grouped.cogroup(cuts.groupBy("device", F.col("idx").alias("up"))).applyInPandas(both, _CUT)
 
 
-def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole blocks, out of batches in the order of (block, device, at, row_id)."""
-    held: list[pd.DataFrame] = []
-    for b in batches:
-        if not len(b):
-            continue
-        if held and b["block"].iloc[0] != held[-1]["block"].iloc[-1]:
-            yield pd.concat(held, ignore_index=True)
-            held = []
-        cut = int((b["block"] != b["block"].iloc[-1]).sum())
-        if cut:
-            yield pd.concat([*held, b.iloc[:cut]], ignore_index=True)
-            held, b = [], b.iloc[cut:]
-        held.append(b)
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
 def _edges(block: pd.DataFrame) -> list[int]:
-    d, n = block["device"].to_numpy(), block["block"].to_numpy()
-    return [0, *(np.flatnonzero((d[1:] != d[:-1]) | (n[1:] != n[:-1])) + 1).tolist(), len(d)]
+    d = block["device"].to_numpy()
+    return [0, *(np.flatnonzero(d[1:] != d[:-1]) + 1).tolist(), len(d)]
 
 
 def decode_units(rows: DataFrame, model: UnitModel, n_rows: int) -> DataFrame:
@@ -298,7 +280,7 @@ def decode_units(rows: DataFrame, model: UnitModel, n_rows: int) -> DataFrame:
         return block["log_value"].to_numpy(dtype="float64"), decoder.code[block["stated"].fillna(-1).to_numpy(dtype="int64")]
 
     def sum_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in _runs(batches):
+        for b in whole_groups(batches, "block"):
             x, stated = sequences(b)
             edges = _edges(b)
             out = [(b["device"].iloc[s], int(b["block"].iloc[s]), x[s], x[t - 1], decoder.matrix(x[s:t], stated[s:t]).ravel()) for s, t in zip(edges, edges[1:])]
@@ -319,7 +301,7 @@ def decode_units(rows: DataFrame, model: UnitModel, n_rows: int) -> DataFrame:
     states = [model.states[i] for i in decoder.states]
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in _runs(batches):
+        for b in whole_groups(batches, "block"):
             x, stated = sequences(b)
             edges = _edges(b)
             heads = b.iloc[edges[:-1]]

@@ -9,7 +9,9 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 
 _made: list[tuple[SparkSession, str]] = []
@@ -63,3 +65,20 @@ def spread(df: DataFrame) -> DataFrame:
     """``df`` in enough partitions for all cores, for work that costs much per row; large inputs have them already."""
     wanted = 3 * df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= wanted // 3 * 2 else df.repartition(wanted)
+
+
+def whole_groups(batches: Iterator[pd.DataFrame], column: str) -> Iterator[pd.DataFrame]:
+    """The groups of equal ``column`` out of batches in which the rows of a group follow each other, one frame each."""
+    held: list[pd.DataFrame] = []
+    for b in batches:
+        values = b[column].to_numpy()
+        cuts = [0, *((values[1:] != values[:-1]).nonzero()[0] + 1).tolist(), len(b)]
+        for s, t in zip(cuts, cuts[1:]):
+            if s == t:
+                continue
+            if held and held[-1][column].iloc[-1] != values[s]:
+                yield pd.concat(held, ignore_index=True)
+                held = []
+            held.append(b.iloc[s:t])
+    if held:
+        yield pd.concat(held, ignore_index=True)
