@@ -1,94 +1,164 @@
-"""Evaluation texts inside training documents, by a document-partitioned positional inverted index.
-
-Every document's postings of test terms (term, position) are stored once. Terms are ranked by document
-frequency over all documents; the windows of each test item are looked up from their rarest term, the lists
-of the other terms are intersected at their adjusted offsets, and runs of enough consecutive words are exact
-phrase matches. Proximity matches may lack some words of a window, so they are looked up from as many of its
-rarest terms that one at least must be there. Every shard answers all queries on its own documents, so nothing but the term frequencies is
-shuffled. Test items go to the tasks in blocks of a bounded number of words.
+"""Evaluation texts inside training documents, by a distributed positional inverted index.
+
+The documents are cut into shards of bounded size, and each shard is inverted where its documents are read: for
+every term the list of the places, document and word position, where it stands. The shards are stored once and answer
+any number of test items; no posting is shuffled. Terms are ranked by their document frequency over all documents.
+
+A window of a test item is looked up from the list of its rarest term. The lists of its other terms, shifted by their
+offsets in the window, are intersected with it: the next rarest first, the rest for the few places that are left. Runs
+of enough consecutive words are exact phrase matches. Proximity matches may lack some words of a window, so they are
+looked up from as many of its rarest terms that one at least must be there. A shard walks its own terms, so test items
+none of whose rarest terms it has cost it nothing.
 """
 
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 from numpy.lib.stride_tricks import sliding_window_view
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import materialize, spread
+from ..workspace import materialize, spread, whole_groups
 
 _RUN = re.compile("[a-z0-9]+")
+#: A place in a shard is one number: the document's ordinal above, the word position, moved up by half the room, below.
+_BITS = 40
+_HALF = 1 << (_BITS - 1)
 
 
 def word_runs(text: str) -> list[str]:
     return _RUN.findall(text.lower())
 
 
-def store_index(docs: DataFrame, id_col: str, text_col: str, vocabulary: dict[str, int], least: int) -> DataFrame:
-    """(doc, terms, positions, n_words) of every document with at least ``least`` words of the vocabulary, written to shared storage."""
+def invert(shard: str, keys: list, words: list[str], docs: list[np.ndarray], positions: list[np.ndarray]) -> pd.DataFrame:
+    """One row per term of a shard with its places in order, and one row, under the empty term, with the documents' ids."""
+    codes, terms = pd.factorize(np.array(words, dtype=object))
+    order = np.argsort(codes, kind="stable")
+    code, doc, at = codes[order], np.concatenate(docs)[order], np.concatenate(positions)[order]
+    cuts = np.flatnonzero(np.diff(code)) + 1
+    fresh = np.ones(len(code), dtype="int64")
+    fresh[1:] = (np.diff(code) != 0) | (np.diff(doc) != 0)
+    n_docs = np.add.reduceat(fresh, np.concatenate([[0], cuts]))
+    return pd.DataFrame(
+        {
+            "shard": shard,
+            "term": ["", *terms],
+            "n_docs": [0, *n_docs],
+            "docs": [np.zeros(0, "int32"), *np.split(doc, cuts)],
+            "positions": [np.zeros(0, "int32"), *np.split(at, cuts)],
+            "keys": [keys, *[None] * len(terms)],
+        }
+    )
+
+
+def store_index(docs: DataFrame, id_col: str, text_col: str, vocabulary: set[str] | None, least: int, shard_words: int = 1_000_000) -> DataFrame:
+    """The index in shared storage: shard, term, n_docs, docs (ordinals in the shard), positions, keys.
+
+    Documents with fewer than ``least`` words of the vocabulary aren't indexed; without a vocabulary every word is. A
+    shard ends with the document that brings it to ``shard_words`` postings, and is one row group of one file, so that one
+    task reads all of it.
+    """
     shipped = docs.sparkSession.sparkContext.broadcast(vocabulary)
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def build(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = shipped.value.get
+        known, part, n = shipped.value, TaskContext.get().partitionId(), 0
+        keys, words, ordinals, positions = [], [], [], []
         for b in batches:
-            out = []
             for key, text in zip(b["k"], b["t"]):
                 if not isinstance(text, str):
                     continue
-                found = [get(w, -1) for w in word_runs(text)]
-                ids = np.array(found, dtype="int32")
-                at = np.flatnonzero(ids >= 0).astype("int32")
-                if len(at) >= least:
-                    out.append((key, ids[at], at))
-            yield pd.DataFrame(out, columns=["doc", "terms", "positions"])
-
-    postings = spread(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t"))).mapInPandas(build, f"doc {id_type}, terms array<int>, positions array<int>")
-    return materialize(postings, "postings")
-
-
-def anchors(terms: np.ndarray, rarity: np.ndarray, n: int) -> list[int]:
-    """Offsets of the rarest term of each window of ``n`` words."""
-    return sorted({int(s + np.argmin(rarity[terms[s : s + n]])) for s in range(len(terms) - n + 1)})
+                ws = word_runs(text)
+                at = range(len(ws)) if known is None else [i for i, w in enumerate(ws) if w in known]
+                if len(at) < max(1, least):
+                    continue
+                words += ws if known is None else [ws[i] for i in at]
+                ordinals.append(np.full(len(at), len(keys), dtype="int32"))
+                positions.append(np.array(at, dtype="int32"))
+                keys.append(key)
+                if len(words) >= shard_words:
+                    yield invert(f"{part}-{n}", keys, words, ordinals, positions)
+                    keys, words, ordinals, positions, n = [], [], [], [], n + 1
+        if keys:
+            yield invert(f"{part}-{n}", keys, words, ordinals, positions)
+
+    read = spread(docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")))
+    schema = f"shard string, term string, n_docs long, docs array<int>, positions array<int>, keys array<{id_type}>"
+    return materialize(read.mapInPandas(build, schema), "postings", {"parquet.block.size": str(2**30)})
+
+
+def anchors(rarity: np.ndarray, n: int) -> dict[int, set[int]]:
+    """Offset of the rarest term of each window of ``n`` words, with the offsets of the next rarest of the windows that have it."""
+    windows = sliding_window_view(rarity, n)
+    first = np.argsort(windows, axis=1, kind="stable")[:, :2] + np.arange(len(windows))[:, None]
+    out: dict[int, set[int]] = defaultdict(set)
+    for a, b in zip(first[:, 0].tolist(), first[:, -1].tolist()):
+        out[a].add(b)
+    return out
 
 
-def near_anchors(terms: np.ndarray, rarity: np.ndarray, n: int, need: int) -> list[int]:
+def near_anchors(rarity: np.ndarray, n: int, need: int) -> list[int]:
     """Offsets of the n - need + 1 rarest terms of each window; a window with ``need`` words in place has one of these."""
-    rarest = np.argsort(sliding_window_view(rarity[terms], n), axis=1, kind="stable")[:, : n - need + 1]
+    rarest = np.argsort(sliding_window_view(rarity, n), axis=1, kind="stable")[:, : n - need + 1]
     return np.unique(rarest + np.arange(len(rarest))[:, None]).tolist()
 
 
-def window_hits(line: np.ndarray, delta: np.ndarray, terms: np.ndarray, n: int, slop: int) -> np.ndarray:
-    """For each start of ``terms`` on the line, the most words of a window that stand within ``slop`` words of their places."""
-    rows = line[delta[:, None] + np.arange(-slop, len(terms) + slop)]
-    hits = np.zeros((len(delta), len(terms)), dtype=bool)
-    for j in range(2 * slop + 1):
-        hits |= rows[:, j : j + len(terms)] == terms
-    sums = np.zeros((len(delta), len(terms) + 1), dtype="int32")
+@dataclass
+class Lookups:
+    """A block of test items, turned to the terms that they are looked up from."""
+
+    items: list[tuple]  # (key, words)
+    n: int
+    need: int
+    slop: int | None
+    exact: dict[str, list[tuple[int, int, list[int]]]] = field(default_factory=lambda: defaultdict(list))
+    near: dict[str, list[tuple[int, int]]] = field(default_factory=lambda: defaultdict(list))
+
+    @classmethod
+    def of(cls, items: list[tuple], frequency: dict[str, int], n: int, slop: int | None, near_share: float) -> Lookups:
+        need = max(1, next((c for c in range(n + 1) if c / n >= near_share), n + 1))
+        out = cls(items, n, need, slop)
+        for i, (_, words) in enumerate(items):
+            rarity = np.array([frequency.get(w, 0) for w in words], dtype="int64")
+            for a, others in anchors(rarity, n).items():
+                out.exact[words[a]].append((i, a, sorted(others)))
+            if slop is not None:
+                for a in near_anchors(rarity, n, need):
+                    out.near[words[a]].append((i, a))
+        return out
+
+
+def has(places: np.ndarray | None, wanted: np.ndarray, slop: int = 0) -> np.ndarray:
+    """Which of the wanted places, give or take ``slop`` words, are in a list of places."""
+    if places is None:
+        return np.zeros(len(wanted), dtype=bool)
+    i = np.searchsorted(places, wanted - slop)
+    return (i < len(places)) & (places[np.minimum(i, len(places) - 1)] <= wanted + slop)
+
+
+def intersect(lists: dict[str, np.ndarray], words: list[str], start: np.ndarray, slop: int = 0) -> np.ndarray:
+    """(starts x words): which words stand at their offsets from each start, list by list."""
+    hits = np.zeros((len(start), len(words)), dtype=bool)
+    for k, w in enumerate(words):
+        hits[:, k] = has(lists.get(w), start + k, slop)
+    return hits
+
+
+def window_counts(hits: np.ndarray, n: int) -> np.ndarray:
+    """Most hits within a window of ``n`` words, for each row."""
+    sums = np.zeros((len(hits), hits.shape[1] + 1), dtype="int32")
     np.cumsum(hits, axis=1, out=sums[:, 1:])
     return (sums[:, n:] - sums[:, :-n]).max(axis=1)
 
 
-def near_places(line: np.ndarray, at: np.ndarray, doc: np.ndarray, k: int, terms: np.ndarray, n: int, slop: int, need: int) -> Iterator[tuple[int, int, int]]:
-    """(document, start of the item, words in place) around the occurrences ``at`` of the item's term at offset k."""
-    lo = max(0, k - n + 1)
-    part = terms[lo : k + n]
-    for s in range(0, len(at), 20_000):
-        base, d = at[s : s + 20_000] - k, doc[s : s + 20_000]
-        # the term itself may stand up to slop words off its place: what no shift can save goes first
-        some = window_hits(line, base + lo, part, n, 2 * slop) >= need
-        base, d = base[some], d[some]
-        for j in range(-slop, slop + 1):
-            counts = window_hits(line, base + lo + j, part, n, slop)
-            for i in np.flatnonzero(counts >= need):
-                yield int(d[i]), int(base[i]) + j, int(counts[i])
-
-
 def longest_run(hits: np.ndarray) -> np.ndarray:
     """Length of the longest run of True in each row."""
     best = np.zeros(len(hits), dtype="int64")
@@ -99,92 +169,107 @@ def longest_run(hits: np.ndarray) -> np.ndarray:
     return best
 
 
-def search(docs: pd.DataFrame, items: list[tuple], rarity: np.ndarray, n: int, slop: int | None, near_share: float = 0.8) -> list[tuple]:
-    """(doc, item, longest run, share of a window's words near its place) over one batch of the index.
-
-    Without ``slop`` only exact phrases are returned; with it also documents where ``near_share`` of a window's
-    words stand within ``slop`` words of their places in any order. Their run is the longest of the best places.
+def exact_places(lists: dict[str, np.ndarray], q: Lookups) -> dict[int, list[np.ndarray]]:
+    """By item, the starts where the rarest term of a window and the next rarest stand at their offsets."""
+    found: dict[int, list[np.ndarray]] = defaultdict(list)
+    for term in lists.keys() & q.exact.keys():
+        for i, a, others in q.exact[term]:
+            start = lists[term] - a
+            keep = np.zeros(len(start), dtype=bool)
+            for b in others:
+                keep |= has(lists.get(q.items[i][1][b]), start + b)
+            if keep.any():
+                found[i].append(start[keep])
+    return found
+
+
+def near_places(lists: dict[str, np.ndarray], q: Lookups) -> dict[int, dict[int, tuple[int, set[int]]]]:
+    """By item and document, the most words of a window near their places, and the starts that show so many."""
+    found: dict[int, dict[int, tuple[int, set[int]]]] = defaultdict(dict)
+    n, slop = q.n, q.slop or 0
+    for term in lists.keys() & q.near.keys():
+        for i, a in q.near[term]:
+            words, lo = q.items[i][1], max(0, a - n + 1)
+            part = words[lo : a + n]
+            for s in range(0, len(lists[term]), 20_000):
+                start = lists[term][s : s + 20_000] - a
+                # the term itself may stand up to slop words off its place: what no shift can save goes first
+                start = start[window_counts(intersect(lists, part, start + lo, 2 * slop), n) >= q.need]
+                for j in range(-slop, slop + 1) if len(start) else ():
+                    counts = window_counts(intersect(lists, words, start + j, slop), n)
+                    for x, c in zip((start[counts >= q.need] + j).tolist(), counts[counts >= q.need].tolist()):
+                        d = x >> _BITS
+                        best = found[i].get(d, (0, set()))
+                        if c >= best[0]:
+                            found[i][d] = (c, best[1] | {x} if c == best[0] else {x})
+    return found
+
+
+def search(shard: pd.DataFrame, q: Lookups) -> list[tuple]:
+    """(doc, item, longest run, share of a window's words near its place) over one shard of the index.
+
+    Without ``slop`` only exact phrases are returned; with it also documents where enough of a window's words stand
+    within ``slop`` words of their places in any order. Their run is the longest of the best places.
     """
-    sizes = docs["terms"].map(len).to_numpy()
-    if not len(sizes):
-        return []
-    ends = np.array([p[-1] for p in docs["positions"]], dtype="int64")
-    pad = max((len(t) for _, t in items), default=0) + 3 * (slop or 0) + 1
-    starts = np.concatenate([[0], np.cumsum(ends + 1 + pad)[:-1]]) + pad
-    terms = np.concatenate(docs["terms"].to_numpy())
-    places = np.concatenate(docs["positions"].to_numpy()).astype("int64") + np.repeat(starts, sizes)
-    line = np.full(int(starts[-1] + ends[-1] + 1 + pad), -1, dtype="int32")
-    line[places] = terms
-    order = np.argsort(terms, kind="stable")
-    by_term, sorted_terms = places[order], terms[order]
-    doc_of = np.repeat(np.arange(len(sizes)), sizes)[order]
-    keys = docs["doc"].to_numpy()
-    need = max(1, next((c for c in range(n + 1) if c / n >= near_share), n + 1))
-    out = []
-    for item, t in items:
-        if len(t) < n:
-            continue
-        deltas = []
-        for a in anchors(t, rarity, n):
-            lo, hi = np.searchsorted(sorted_terms, [t[a], t[a] + 1])
-            if hi > lo:
-                deltas.append(by_term[lo:hi] - a)
-        best: dict[int, list] = {}
-        if deltas:
-            delta = np.unique(np.concatenate(deltas))
-            runs = np.zeros(len(delta), dtype="int64")
-            for s in range(0, len(delta), 20_000):
-                runs[s : s + 20_000] = longest_run(line[delta[s : s + 20_000, None] + np.arange(len(t))] == t[None, :])
-            for i in np.flatnonzero(runs >= n):
-                # the run lies within one document: the padding between documents holds no term
-                hit = np.flatnonzero(line[delta[i] + np.arange(len(t))] == t)
-                d = int(np.searchsorted(starts, delta[i] + hit[len(hit) // 2], side="right") - 1)
-                best[d] = [max(int(runs[i]), best.get(d, [0])[0]), 1.0]
-        if slop is not None:
-            exact, near = set(best), {}
-            for a in near_anchors(t, rarity, n, need):
-                lo, hi = np.searchsorted(sorted_terms, [t[a], t[a] + 1])
-                if hi > lo:
-                    for d, x, c in near_places(line, by_term[lo:hi], doc_of[lo:hi], a, t, n, slop, need):
-                        if d not in exact and c >= near.get(d, (0,))[0]:
-                            near[d] = (c, near[d][1] | {x} if c == near.get(d, (0,))[0] else {x})
-            for d, (c, xs) in near.items():
-                best[d] = [int(longest_run(line[np.array(sorted(xs))[:, None] + np.arange(len(t))] == t).max()), c / n]
-        out += [(keys[d], item, r, s) for d, (r, s) in best.items()]
-    return out
-
-
-def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, n: int = 13, slop: int | None = None, near_share: float = 0.8, block_words: int = 1_000_000) -> DataFrame:
+    wanted = {w for _, words in q.items for w in words}
+    lists = {t: (d.astype("int64") << _BITS) + p + _HALF for t, d, p in zip(shard["term"], shard["docs"], shard["positions"]) if t in wanted}
+    keys = shard["keys"][shard["term"] == ""].iloc[0]
+    best: dict[tuple[int, int], tuple[int, float]] = {}
+    for i, starts in exact_places(lists, q).items():
+        start = np.unique(np.concatenate(starts))
+        for s in range(0, len(start), 20_000):
+            runs = longest_run(intersect(lists, q.items[i][1], start[s : s + 20_000]))
+            for x, r in zip(start[s : s + 20_000][runs >= q.n].tolist(), runs[runs >= q.n].tolist()):
+                at = (x >> _BITS, i)
+                best[at] = (max(r, best.get(at, (0,))[0]), 1.0)
+    if q.slop is not None:
+        for i, docs in near_places(lists, q).items():
+            for d, (c, starts) in docs.items():
+                if (d, i) not in best:
+                    best[d, i] = (int(longest_run(intersect(lists, q.items[i][1], np.array(sorted(starts)))).max()), c / q.n)
+    return [(keys[d], q.items[i][0], r, share) for (d, i), (r, share) in best.items()]
+
+
+def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id: str, item_text: str, n: int = 13, slop: int | None = None, near_share: float = 0.8, block_words: int = 1_000_000, max_vocabulary: int = 5_000_000) -> DataFrame:
     """(doc_id, item_id, run_length, near_share): documents that hold at least ``n`` consecutive words of an item.
 
     Words are maximal runs of a-z and 0-9 after lower-casing. With ``slop``, documents where at least
     ``near_share`` of a window's words stand within ``slop`` words of their places count too, whichever words are
     missing. Null texts, and items of fewer than ``n`` words, give no row; repeated documents and items each count;
-    very long texts are indexed whole.
+    very long texts are indexed whole. The documents are tokenised and stored once, for the words of the items or,
+    where these are more than ``max_vocabulary``, for all words; items are sent to the tasks in blocks of
+    ``block_words`` words.
     """
     spark = docs.sparkSession
     d_type, i_type = docs.schema[doc_id].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"doc {d_type}, item {i_type}, run_length long, near_share double"
-    results, block, size = [], [], 0
-    texts = items.select(item_id, item_text).filter(F.col(item_text).isNotNull()).toLocalIterator()
+    texts = items.select(item_id, item_text).filter(F.col(item_text).isNotNull())
+    vocabulary: set[str] | None = set()
+    for row in texts.toLocalIterator():
+        words = word_runs(row[1])
+        if len(words) >= n:
+            vocabulary.update(words)
+        if len(vocabulary) > max_vocabulary:
+            vocabulary = None
+            break
+    if vocabulary is not None and not vocabulary:
+        return spark.createDataFrame([], schema.replace("doc ", f"{doc_id} ", 1).replace("item ", f"{item_id} ", 1))
+    index = store_index(docs, doc_id, doc_text, vocabulary, 1 if slop is not None else n)
+    frequency = materialize(index.filter("term <> ''").groupBy("term").agg(F.sum("n_docs").alias("n")), "term-frequency")
 
     def answer(block: list[tuple]) -> DataFrame:
-        vocabulary = {w: i for i, w in enumerate(sorted({w for _, ws in block for w in ws}))}
-        index = store_index(docs, doc_id, doc_text, vocabulary, 1 if slop is not None else n)
-        counts = index.select(F.explode(F.array_distinct("terms")).alias("term")).groupBy("term").count().collect()
-        rarity = np.zeros(max(1, len(vocabulary)), dtype="int64")
-        for r in counts:
-            rarity[r.term] = r["count"]
-        shipped = spark.sparkContext.broadcast(([(key, np.array([vocabulary[w] for w in ws], dtype="int32")) for key, ws in block], rarity))
+        words = spark.createDataFrame([(w,) for w in sorted({w for _, ws in block for w in ws})], "term string")
+        counts = {r.term: r.n for r in frequency.join(words, "term").collect()}
+        shipped = spark.sparkContext.broadcast(Lookups.of(block, counts, n, slop, near_share))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            queries, rare = shipped.value
-            for b in batches:
-                yield pd.DataFrame(search(b, queries, rare, n, slop, near_share), columns=["doc", "item", "run_length", "near_share"])
+            for shard in whole_groups(batches, "shard"):
+                yield pd.DataFrame(search(shard, shipped.value), columns=["doc", "item", "run_length", "near_share"])
 
-        return index.mapInPandas(run, schema)
+        return index.select("shard", "term", "docs", "positions", "keys").mapInPandas(run, schema)
 
-    for row in texts:
+    results, block, size = [], [], 0
+    for row in texts.toLocalIterator():
         ws = word_runs(row[1])
         if len(ws) < n:
             continue
@@ -193,10 +278,6 @@ def leaks(docs: DataFrame, doc_id: str, doc_text: str, items: DataFrame, item_id
             block, size = [], 0
         block.append((row[0], ws))
         size += len(ws)
-    if block:
-        results.append(answer(block))
-    if not results:
-        return spark.createDataFrame([], schema.replace("doc ", f"{doc_id} ", 1).replace("item ", f"{item_id} ", 1))
+    results.append(answer(block))
     found = reduce(DataFrame.unionAll, results)
-    keep = F.col("run_length") >= n if slop is None else (F.col("run_length") >= n) | (F.col("near_share") >= near_share)
-    return found.filter(keep).select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "run_length", "near_share")
+    return found.select(F.col("doc").alias(doc_id), F.col("item").alias(item_id), "run_length", "near_share")
