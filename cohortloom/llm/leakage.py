@@ -59,7 +59,7 @@ def invert(shard: str, keys: list, words: list[str], docs: list[np.ndarray], pos
     )
 
 
-def store_index(docs: DataFrame, id_col: str, text_col: str, vocabulary: set[str] | None, least: int, shard_words: int = 1_000_000) -> DataFrame:
+def store_index(docs: DataFrame, id_col: str, text_col: str, vocabulary: set[str] | None, least: int, shard_words: int = 2_000_000) -> DataFrame:
     """The index in shared storage: shard, term, n_docs, docs (ordinals in the shard), positions, keys.
 
     Documents with fewer than ``least`` words of the vocabulary aren't indexed; without a vocabulary every word is. A
@@ -105,10 +105,14 @@ def anchors(rarity: np.ndarray, n: int) -> dict[int, set[int]]:
     return out
 
 
-def near_anchors(rarity: np.ndarray, n: int, need: int) -> list[int]:
-    """Offsets of the n - need + 1 rarest terms of each window; a window with ``need`` words in place has one of these."""
+def near_anchors(rarity: np.ndarray, n: int, need: int) -> dict[int, list[int]]:
+    """Offsets of the n - need + 1 rarest terms of each window, with the starts of the windows; a window with ``need`` words in place has one of these."""
     rarest = np.argsort(sliding_window_view(rarity, n), axis=1, kind="stable")[:, : n - need + 1]
-    return np.unique(rarest + np.arange(len(rarest))[:, None]).tolist()
+    out: dict[int, list[int]] = defaultdict(list)
+    for s, offsets in enumerate(rarest.tolist()):
+        for k in offsets:
+            out[s + k].append(s)
+    return out
 
 
 @dataclass
@@ -120,7 +124,7 @@ class Lookups:
     need: int
     slop: int | None
     exact: dict[str, list[tuple[int, int, list[int]]]] = field(default_factory=lambda: defaultdict(list))
-    near: dict[str, list[tuple[int, int]]] = field(default_factory=lambda: defaultdict(list))
+    near: dict[str, list[tuple[int, int, np.ndarray, list[int]]]] = field(default_factory=lambda: defaultdict(list))
 
     @classmethod
     def of(cls, items: list[tuple], frequency: dict[str, int], n: int, slop: int | None, near_share: float) -> Lookups:
@@ -131,8 +135,9 @@ class Lookups:
             for a, others in anchors(rarity, n).items():
                 out.exact[words[a]].append((i, a, sorted(others)))
             if slop is not None:
-                for a in near_anchors(rarity, n, need):
-                    out.near[words[a]].append((i, a))
+                for a, windows in near_anchors(rarity, n, need).items():
+                    part = np.arange(windows[0], windows[-1] + n)
+                    out.near[words[a]].append((i, a, np.array(windows), part[np.argsort(rarity[part], kind="stable")].tolist()))
         return out
 
 
@@ -183,25 +188,40 @@ def exact_places(lists: dict[str, np.ndarray], q: Lookups) -> dict[int, list[np.
     return found
 
 
+def may_hold(lists: dict[str, np.ndarray], words: list[str], start: np.ndarray, windows: np.ndarray, order: list[int], n: int, need: int, slop: int) -> np.ndarray:
+    """The starts at which one of the windows lacks no more than n - need words, the rarest words asked first."""
+    lacks = np.zeros((len(start), len(windows)), dtype="int16")
+    for k in order:
+        if not len(start):
+            break
+        missed = ~has(lists.get(words[k]), start + k, slop)
+        lacks += missed[:, None] & ((windows <= k) & (k < windows + n))
+        alive = lacks.min(axis=1) <= n - need
+        start, lacks = start[alive], lacks[alive]
+    return start
+
+
 def near_places(lists: dict[str, np.ndarray], q: Lookups) -> dict[int, dict[int, tuple[int, set[int]]]]:
     """By item and document, the most words of a window near their places, and the starts that show so many."""
     found: dict[int, dict[int, tuple[int, set[int]]]] = defaultdict(dict)
     n, slop = q.n, q.slop or 0
+    starts: dict[int, list[np.ndarray]] = defaultdict(list)
     for term in lists.keys() & q.near.keys():
-        for i, a in q.near[term]:
-            words, lo = q.items[i][1], max(0, a - n + 1)
-            part = words[lo : a + n]
-            for s in range(0, len(lists[term]), 20_000):
-                start = lists[term][s : s + 20_000] - a
-                # the term itself may stand up to slop words off its place: what no shift can save goes first
-                start = start[window_counts(intersect(lists, part, start + lo, 2 * slop), n) >= q.need]
-                for j in range(-slop, slop + 1) if len(start) else ():
-                    counts = window_counts(intersect(lists, words, start + j, slop), n)
-                    for x, c in zip((start[counts >= q.need] + j).tolist(), counts[counts >= q.need].tolist()):
-                        d = x >> _BITS
-                        best = found[i].get(d, (0, set()))
-                        if c >= best[0]:
-                            found[i][d] = (c, best[1] | {x} if c == best[0] else {x})
+        for i, a, windows, order in q.near[term]:
+            # the term itself may stand up to slop words off its place: what no shift can save goes first
+            start = may_hold(lists, q.items[i][1], lists[term] - a, windows, order, n, q.need, 2 * slop)
+            if len(start):
+                starts[i].append(start)
+    for i, own in starts.items():
+        start = np.unique(np.unique(np.concatenate(own))[:, None] + np.arange(-slop, slop + 1))
+        for s in range(0, len(start), 20_000):
+            at = start[s : s + 20_000]
+            counts = window_counts(intersect(lists, q.items[i][1], at, slop), n)
+            for x, c in zip(at[counts >= q.need].tolist(), counts[counts >= q.need].tolist()):
+                d = x >> _BITS
+                best = found[i].get(d, (0, set()))
+                if c >= best[0]:
+                    found[i][d] = (c, best[1] | {x} if c == best[0] else {x})
     return found
 
 
