@@ -1,6 +1,6 @@
 import pytest
 
-from cohortloom.llm.stuffing import labelled_words, stuffed_pages, stuffed_share
+from cohortloom.llm.stuffing import shapes, stuffed_pages, stuffed_share
 
 PROSE = "We treated the cells with the drug for two days and sequenced the libraries. The donor of the second run withdrew, which leaves nine usable profiles. "
 SPAM = {
@@ -39,12 +39,42 @@ def test_sound(name):
 
 
 def test_shapes_are_few_on_spam():
-    assert stuffed_share(SPAM["stock"])[2] > 0.9
-    assert {k for _, k, _ in labelled_words(SOUND["log"])} == {"sound"}
+    held, _, bare = stuffed_share(SPAM["stock"])
+    assert held > 0.9 * bare
+    assert {k for _, k, _ in shapes(SOUND["log"])} == {"record"}
 
 
-def test_table_edges(spark):
-    rows = [(1, None, "x"), (2, "", "x"), (3, "a b", "x"), (4, SPAM["phrases"], "x"), (4, SPAM["phrases"], "x"), (5, PROSE * 2000, "x"), (6, SPAM["soup"] * 500, None)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, id string")
-    assert sorted(r.doc_id for r in stuffed_pages(df, "doc_id", "text").collect()) == [4, 4, 6]
-    assert stuffed_pages(df.limit(0), "doc_id", "text").count() == 0
+#: Phrasings and subjects that were not looked at when the rules were made.
+HELD_OUT_SPAM = (
+    "cheap flights to lisbon » book now » hotel deals » car hire » last minute » " * 6,
+    "\n".join(f"Running shoes size {i} men | buy | compare" for i in range(36, 60)),
+    "casino bonus casino slots free casino bonus play casino slots online casino " * 8,
+    "Mortgage rates today. mortgage rates. best mortgage. low mortgage rates. compare mortgage. " * 6,
+    "\n".join(f"www.cheap-watches{i}.example/sale" for i in range(25)),
+    "Keywords: " + ", ".join(f"garden chair {c}" for c in "red blue green oak teak steel folding cheap sale new used white black grey".split() * 2),
+    "<ul>" + "".join(f'<li><a href="/t/{i}">#topic{i}</a></li>' for i in range(30)) + "</ul>",
+    "The ferry leaves at nine and takes two hours. " + "ticket ferry cheap ferry island ferry ticket boat ferry deal " * 10,
+)
+HELD_OUT_SOUND = (
+    "The ferry leaves at nine. It takes about two hours to reach the island, and the last boat back is at six. " * 4,
+    "name: Anna\ncity: Porto\nrole: nurse\nteam: north\nshift: late\nphone: 555",
+    "\n".join(f"2024-05-0{i % 9 + 1} 12:{i:02d}:11,201 [main] INFO com.example.Server - request {i} served" for i in range(30)),
+    "\n".join(f"ENSG000001{i:05d},chr{i % 22},{i * 100},{i * 100 + 50},+" for i in range(30)),
+    "Zutaten verrühren und den Teig eine Stunde ruhen lassen. Danach den Ofen auf zweihundert Grad vorheizen. Das Brot backt vierzig Minuten.",
+    "we met at the station and walked along the river for an hour. nobody had eaten, so we stopped at a small place by the bridge.",
+    "Links that helped me: https://a.example/guide explains how the pump is taken apart and cleaned, and the maker's own page shows the order of the seals.",
+)
+
+
+def test_held_out_pages():
+    assert [t[:30] for t in HELD_OUT_SPAM if stuffed_share(t)[0] < 0.5] == []
+    assert [t[:30] for t in HELD_OUT_SOUND if stuffed_share(t)[0] >= 0.5] == []
+
+
+def test_many_different_shapes_are_not_dominant():
+    """Bare pieces of ever other shapes don't make a page spam; the same words in one shape do."""
+    case = [str.upper, str.lower, str.title]
+    mixed = "\n".join(case[i % 3](" ".join(f"w{i}x{j}" if i % 2 else "abcdefgh"[j : j + 3] for j in range((1, 2, 4, 7)[i % 4]))) for i in range(96))
+    held, n, bare = stuffed_share(mixed, few=2)
+    assert bare > 0.9 and held < 0.5
+    assert stuffed_share("\n".join(["cheap red shoes"] * 90), few=2)[0] == 1.0
