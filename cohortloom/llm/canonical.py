@@ -1,41 +1,41 @@
-"""Free-entered values mapped to a canonical list by BK-trees under a true edit metric.
-
-The metric is the unrestricted Damerau-Levenshtein distance (insert, delete, substitute, swap of neighbours,
-each 1), which obeys the triangle inequality, so a BK-tree returns every key within a threshold. The list is
-cut into shards of bounded size by a hash of the entry; each shard's tree goes to all tasks, every distinct
-value is searched in every shard, and the shards' winners are merged per value. Values are reduced to their
-distinct forms before the search, so a value that fills a third of the rows is searched once.
+"""Free-entered values mapped to a canonical list by BK-trees.
+
+The answer's metric is the unrestricted Damerau-Levenshtein distance (insert, delete, substitute, swap of neighbours,
+each 1). The trees are kept under the Levenshtein distance, a true metric in which a swap is 2, so a radius of twice the
+threshold holds every key within the threshold, and the exact distance of the few that are left decides. Distances of many
+texts to one key are taken at once, bit-parallel, so a tree is walked by all texts of a batch together.
+
+A value names an entry with a part of its words: every run of its words, of up to the longest key's length, is asked of
+the tree. Numbers bear no edits, so keys of different numbers stand in different trees. Words that many values have and
+no entry has are decoration and are also left out within a run. The list is cut into shards of bounded size by a hash of
+the entry; each shard's trees go to all tasks, every distinct value is searched in every shard, and the shards' winners
+are merged per value. A value that fills a third of the rows is searched once.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Iterator
+import uuid
+from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import reduce
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..workspace import materialize
 
-# --- fixed values: words that don't change what a value names -------------------------------------------
-DECORATION = frozenset(
-    "cell cells line lines parental human cultured primary from healthy donor donors patient patients with untreated treated of the a an in and "
-    "stage i ii iii iv relapsed recurrent metastatic advanced early late passage derived tissue sample samples culture wild type wt ko "
-    "knockout loss function".split()
-)
-TISSUES = (
-    "skin lung prostate pancreas stomach esophagus larynx kidney cervix colorectum colon brain liver ovary breast thyroid conjunctiva bladder spleen blood cortex retina "
-    "heart placenta muscle uterus bone marrow"
-).split()
+# --- fixed values: adjectives of organs, for lists that don't tell them themselves ------------------------
 ORGANS = {
     "cutaneous": "skin", "pulmonary": "lung", "prostatic": "prostate", "pancreatic": "pancreas", "gastric": "stomach", "esophageal": "esophagus", "laryngeal": "larynx",
     "renal": "kidney", "cervical": "uterine cervix", "colorectal": "colorectum", "cerebral": "brain", "hepatic": "liver", "ovarian": "ovary", "mammary": "breast",
     "thyroid": "thyroid gland", "conjunctival": "conjunctiva", "vesical": "bladder", "splenic": "spleen",
 }
 # --------------------------------------------------------------------------------------------------------
+_ONE = np.uint64(1)
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -81,39 +81,90 @@ def edit_distance(a: str, b: str) -> int:
     return rows[-1][-1]
 
 
+class Texts:
+    """Texts as rows of character codes, to be compared with one key at a time."""
+
+    def __init__(self, texts: list[str]) -> None:
+        self.texts, self.sizes = texts, np.array([len(t) for t in texts], dtype="int64")
+        self.codes = np.zeros((len(texts), int(self.sizes.max(initial=0))), dtype="uint32")
+        for i, t in enumerate(texts):
+            self.codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype="uint32")
+
+    def distances(self, key: str, rows: np.ndarray) -> np.ndarray:
+        """Levenshtein distances of the texts ``rows`` to ``key``: one bit a character of the key, 64 to a pass, carried from pass to pass."""
+        sizes = self.sizes[rows]
+        codes = self.codes[rows, : int(sizes.max(initial=0))]
+        score = np.full(len(rows), len(key), dtype="int64")
+        if not key:
+            return sizes.copy()
+        letters = np.unique(np.frombuffer(key.encode("utf-32-le"), dtype="uint32"))
+        place = np.minimum(np.searchsorted(letters, codes), len(letters) - 1)
+        known = letters[place] == codes
+        # horizontal steps along the lower edge of the pass above; the top edge goes up by one with each character
+        up, down = np.ones(codes.shape, dtype=bool), np.zeros(codes.shape, dtype=bool)
+        for start in range(0, len(key), 64):
+            part = key[start : start + 64]
+            masks = np.array([sum(1 << i for i, c in enumerate(part) if ord(c) == x) for x in letters.tolist()], dtype="uint64")
+            top = np.uint64(len(part) - 1)
+            plus, minus = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), dtype="uint64")
+            for j in range(codes.shape[1]):
+                eq = np.where(known[:, j], masks[place[:, j]], np.uint64(0))
+                sink = down[:, j].astype("uint64")
+                xv = eq | minus
+                eq = eq | sink
+                xh = (((eq & plus) + plus) ^ plus) | eq
+                ph, mh = minus | ~(xh | plus), plus & xh
+                rise, fall = (ph >> top) & _ONE != 0, (mh >> top) & _ONE != 0
+                ph, mh = (ph << _ONE) | up[:, j].astype("uint64"), (mh << _ONE) | sink
+                plus, minus = mh | ~(xv | ph), ph & xv
+                up[:, j], down[:, j] = rise, fall
+        inside = np.arange(codes.shape[1])[None, :] < sizes[:, None]
+        return score + (up & inside).sum(1) - (down & inside).sum(1)
+
+
 class BKTree:
-    """Keys under ``edit_distance``; ``search`` returns every key within a threshold."""
+    """Keys in a tree under the Levenshtein distance; a search returns every key within a threshold of ``edit_distance``."""
 
-    def __init__(self, keys: Iterator[str] | list[str] = ()) -> None:
+    def __init__(self, keys: Iterable[str] = ()) -> None:
         self.nodes: list[tuple[str, dict[int, int]]] = []
-        for k in keys:
-            self.add(k)
-
-    def add(self, key: str) -> None:
-        if not self.nodes:
-            self.nodes.append((key, {}))
-            return
-        at = 0
-        while True:
-            known, children = self.nodes[at]
-            d = edit_distance(key, known)
-            if d == 0:
-                return
-            if d not in children:
-                children[d] = len(self.nodes)
-                self.nodes.append((key, {}))
-                return
-            at = children[d]
+        every = list(dict.fromkeys(keys))
+        if every:
+            self._grow(Texts(every))
 
-    def search(self, text: str, threshold: int) -> list[tuple[int, str]]:
-        out, todo = [], [0] if self.nodes else []
+    def _grow(self, keys: Texts) -> None:
+        """Sets of keys become subtrees: the first is their root, the others go below it by their distance."""
+        todo: list[tuple[np.ndarray, int | None, int]] = [(np.arange(len(keys.texts)), None, 0)]
+        while todo:
+            rows, parent, edge = todo.pop()
+            if parent is not None:
+                self.nodes[parent][1][edge] = len(self.nodes)
+            self.nodes.append((keys.texts[rows[0]], {}))
+            here, rest = len(self.nodes) - 1, rows[1:]
+            if len(rest):
+                d = keys.distances(keys.texts[rows[0]], rest)
+                todo += [(rest[d == x], here, x) for x in np.unique(d).tolist()]
+
+    def search_all(self, texts: list[str], thresholds: list[int]) -> dict[int, list[tuple[int, str]]]:
+        """By position of the text, the (distance, key) within its threshold; all texts go down the tree together."""
+        out: dict[int, list[tuple[int, str]]] = defaultdict(list)
+        asked, limit = Texts(texts), np.array(thresholds, dtype="int64")
+        todo = [(0, np.arange(len(texts)))] if self.nodes and texts else []
         while todo:
-            key, children = self.nodes[todo.pop()]
-            d = edit_distance(text, key)
-            if d <= threshold:
-                out.append((d, key))
-            todo += [child for edge, child in children.items() if d - threshold <= edge <= d + threshold]
-        return sorted(out)
+            at, rows = todo.pop()
+            key, children = self.nodes[at]
+            d, radius = asked.distances(key, rows), 2 * limit[rows]
+            for i in rows[d <= radius].tolist():
+                exact = edit_distance(texts[i], key)
+                if exact <= limit[i]:
+                    out[i].append((exact, key))
+            for edge, child in children.items():
+                near = np.abs(d - edge) <= radius
+                if near.any():
+                    todo.append((child, rows[near]))
+        return out
+
+    def search(self, text: str, threshold: int) -> list[tuple[int, str]]:
+        return sorted(self.search_all([text], [threshold]).get(0, []))
 
 
 def tokens(text: str) -> list[str]:
@@ -143,15 +194,10 @@ def entry_keys(ref_id: str, preferred: str | None, synonyms: str | None, organs:
     return {k for k in keys if k}
 
 
-def learned_organs(rows: list[tuple[str | None, str | None]]) -> dict[str, str]:
-    """Adjective to noun, read off entries such as ``hepatic sarcoma`` with the synonym ``sarcoma of the liver``, over the fixed list."""
-    out = dict(ORGANS)
-    for preferred, synonyms in rows:
-        words = tokens(preferred or "")
-        for s in (synonyms or "").split("|"):
-            if len(words) == 2 and (m := re.fullmatch(rf"{re.escape(words[1])} of (?:the )?(.+)", s.strip().lower())):
-                out[words[0]] = m[1]
-    return out
+def entry_words(rows: list[tuple]) -> set[str]:
+    """All words of the entries (ref_id, vocab, preferred name, synonyms), as typed and in the singular."""
+    words = {w for r in rows for x in (r[0], *r[2:4]) for w in tokens(x or "")}
+    return words | {singular(w) for w in words}
 
 
 def _allowed(key: str) -> int:
@@ -160,119 +206,153 @@ def _allowed(key: str) -> int:
     return 0 if letters <= 4 else 1 if letters <= 5 else 2
 
 
-def candidates(value: str) -> list[str]:
-    """Readings of a value with decoration taken off, longest first."""
-    text = re.sub(r"(?i)\(\s*(?:passage|p)\s*\d+\s*\)|\bpassage\s*\d+|\b\w+\s*-\s*ko\b|\b\w+\s+(?:loss of function|knock-?out)\b|\bstage\s+[ivx]+[abc]?\b", " ", unicodedata.normalize("NFKC", value).replace("_", " "))
-    parts = [text, *re.split(r"[,;:()\[\]/|]", text)]
-    out: dict[str, None] = {}
-    for p in parts:
-        words = [w for w in tokens(p) if w not in ("of", "the")]
-        out[" ".join(words)] = None
-        out[" ".join(w for w in words if w in ("cell", "cells") or w not in DECORATION)] = None
-        bare = [w for w in words if w not in DECORATION]
-        out[" ".join(bare)] = None
-        out[" ".join(w for w in bare if w not in TISSUES)] = None
-        for k in (0, len(bare) - 1):
-            if bare and bare[k] in TISSUES:
-                out[" ".join(bare[:k] + bare[k + 1 :])] = None
-    for reading in list(out):
-        out[" ".join(map(singular, reading.split()))] = None
-    return [x for x in sorted(out, key=len, reverse=True) if x]
+def numbers(text: str) -> str:
+    return " ".join(re.findall(r"\d+", text))
+
+
+def readings(value: str, decoration: frozenset[str], longest: int) -> set[str]:
+    """Every run of up to ``longest`` words of the value, with and without plural endings and decoration.
+
+    A number behind a run belongs to the name, so a run of words doesn't end before one.
+    """
+    words = [w for w in tokens(value.replace("_", " ")) if w not in ("of", "the")]
+    out: set[str] = set()
+    for ws in (words, [w for w in words if w not in decoration]):
+        for row in (ws, [singular(w) for w in ws]):
+            for i in range(len(row)):
+                for j in range(i + 1, min(len(row), i + longest) + 1):
+                    if j == len(row) or not row[j].isdigit() or row[j - 1].isdigit():
+                        out.add(" ".join(row[i:j]))
+    return out
 
 
 class Index:
-    """One shard of the list: a BK-tree of keys and the entries behind each key, by vocabulary."""
+    """One shard of the list: the entries behind each key, and a BK-tree of the keys of each vocabulary and number."""
 
-    def __init__(self, rows: list[tuple[str, str, str | None, str | None]], organs: dict[str, str]) -> None:
+    def __init__(self, rows: list[tuple[str, str, str | None, str | None]], organs: dict[str, str], decoration: frozenset[str] = frozenset()) -> None:
         self.refs: dict[str, dict[str, set[str]]] = {}
+        self.decoration = decoration
         for ref_id, vocab, preferred, synonyms in rows:
             for key in entry_keys(ref_id, preferred, synonyms, organs):
                 self.refs.setdefault(vocab, {}).setdefault(key, set()).add(ref_id)
-        self.trees = {v: BKTree(sorted(keys)) for v, keys in self.refs.items()}
-        self.longest = {v: max(len(k.split()) for k in keys) for v, keys in self.refs.items()}
+        keys: dict[tuple[str, str], list[str]] = defaultdict(list)
+        for vocab, of in self.refs.items():
+            for key in sorted(of):
+                keys[vocab, numbers(key)].append(key)
+        self.trees = {k: BKTree(v) for k, v in keys.items()}
+        # a typed blank may cut a word in two
+        self.longest = {v: max(len(k.split()) for k in of) + 1 for v, of in self.refs.items()}
+
+    def best_of(self, asked: list[tuple[str, str]]) -> list[tuple[int, int, str, str] | None]:
+        """(distance, -length of the key, ref_id, key) of the best entry of each (vocab, value), or None.
+
+        The best covers most letters, an edit counting as three that aren't covered; then the smaller ref_id.
+        """
+        by_tree: dict[tuple[str, str], dict[str, list[int]]] = defaultdict(lambda: defaultdict(list))
+        for i, (vocab, value) in enumerate(asked):
+            if vocab in self.refs:
+                for r in readings(value, self.decoration, self.longest[vocab]):
+                    if (vocab, numbers(r)) in self.trees:
+                        by_tree[vocab, numbers(r)][r].append(i)
+        found: dict[int, tuple] = {}
+        for (vocab, number), owners in by_tree.items():
+            texts = list(owners)
+            for t, hits in self.trees[vocab, number].search_all(texts, [_allowed(x) for x in texts]).items():
+                for d, key in hits:
+                    # the key must bear the edits too
+                    if d <= _allowed(key):
+                        rank = min((3 * d - len(key), d, -len(key), r, key) for r in self.refs[vocab][key])
+                        for i in owners[texts[t]]:
+                            if i not in found or rank < found[i]:
+                                found[i] = rank
+        return [found[i][1:] if i in found else None for i in range(len(asked))]
 
     def best(self, vocab: str, value: str) -> tuple[int, int, str, str] | None:
-        """(distance, -length of the key, ref_id, key) of the best entry, or None."""
-        if vocab not in self.trees:
-            return None
-        refs, found = self.refs[vocab], []
-        readings = candidates(value)
-        for reading in readings:
-            words = reading.split()
-            for size in range(min(self.longest[vocab], len(words)), 0, -1):
-                for i in range(len(words) - size + 1):
-                    key = " ".join(words[i : i + size])
-                    # a number that follows belongs to the name
-                    if key in refs and not (i + size < len(words) and words[i + size].isdigit() and not words[i + size - 1].isdigit()):
-                        found += [(0, -len(key), r, key) for r in refs[key]]
-        if not found:
-            for reading in readings:
-                allowed = _allowed(reading)
-                digits = re.findall(r"\d+", reading)
-                if allowed and reading not in TISSUES:
-                    for d, key in self.trees[vocab].search(reading, allowed):
-                        # exact check behind the tree: numbers don't bear edits, and the key must bear its own
-                        if d <= _allowed(key) and re.findall(r"\d+", key) == digits:
-                            found += [(d, -len(key), r, key) for r in refs[key]]
-        return min(found) if found else None
-
-
-def map_values(values: DataFrame, reference: DataFrame, shard_rows: int = 20_000) -> DataFrame:
-    """The best entry for each distinct (vocab, value) of ``values``: vocab, value, ref_id, distance, key.
+        return self.best_of([(vocab, value)])[0]
+
+
+_built: dict[str, Index] = {}
+
+
+def map_values(values: DataFrame, reference: DataFrame, shard_rows: int = 20_000, decoration_share: float = 0.002) -> DataFrame:
+    """The best entry for each distinct (vocab, value) of ``values``: vocab, value, n_rows, ref_id, distance, key.
 
     ``reference`` has ref_id, vocab, preferred_name, synonyms. Values within no entry's threshold have null
-    ref_id; null values give no row; blank values are unmatched; equal distances go to the longer key, then
-    the smaller ref_id. At most ``shard_rows`` entries are sent to the tasks at once, one shard after the other.
+    ref_id; null values give no row; blank values are unmatched; of several entries the one that covers most of the value
+    wins, then the smaller ref_id. At most ``shard_rows`` entries are sent to the tasks at once, one shard after the other. Words of at least
+    ``decoration_share`` of the distinct values that no entry has are decoration.
     """
     spark = values.sparkSession
     ref = reference.filter(F.col("ref_id").isNotNull()).select("ref_id", "vocab", "preferred_name", "synonyms")
     total = ref.count()
     shards = max(1, -(-total // shard_rows) * (2 if total > shard_rows else 1))
-    pairs = ref.select("preferred_name", "synonyms").filter(F.col("synonyms").contains(" of ")).select(
+    pairs = ref.select("preferred_name", F.explode(F.split("synonyms", r"\|")).alias("synonym")).select(
         F.lower(F.regexp_extract("preferred_name", r"^(\S+) \S+$", 1)).alias("adjective"),
-        F.lower(F.regexp_extract("synonyms", r" of (?:the )?([^|]+)", 1)).alias("noun"),
         F.lower(F.regexp_extract("preferred_name", r"^\S+ (\S+)$", 1)).alias("kind"),
+        F.regexp_extract(F.lower(F.trim("synonym")), r"^(\S+) of (?:the )?.+$", 1).alias("same"),
+        F.regexp_extract(F.lower(F.trim("synonym")), r"^\S+ of (?:the )?(.+)$", 1).alias("noun"),
     )
-    learned = pairs.filter("adjective <> '' and noun <> ''").groupBy("adjective").agg(F.min("noun").alias("noun"))
+    learned = pairs.filter("adjective <> '' and noun <> '' and kind = same").groupBy("adjective").agg(F.min("noun").alias("noun"))
     if shards > 1:
         learned = materialize(learned, "organs")
-    distinct = materialize(values.filter(F.col("value").isNotNull() & F.col("vocab").isNotNull()).select("vocab", "value").distinct(), "distinct-values")
-    # the search costs milliseconds a value, so the distinct values are spread whatever their bytes
+    distinct = values.filter(F.col("value").isNotNull() & F.col("vocab").isNotNull()).groupBy("vocab", "value").agg(F.count("*").alias("n_rows"))
+    distinct = materialize(distinct, "distinct-values")
+    least = max(20, int(distinct.count() * decoration_share))
+    # at most words-per-value / decoration_share words pass
+    words = distinct.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"([^\W\d_]+)"), F.lit(1)))).alias("w")).groupBy("w").count().filter(F.col("count") >= least)
+    frequent = {r.w for r in words.collect()}
+    # the search costs much a value, so the distinct values are spread whatever their bytes
     wide = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    distinct = distinct.repartition(wide, "value")
-    schema = "vocab string, value string, ref_id string, distance int, key string"
-    results = []
+    spread_values = distinct.repartition(wide, "value")
+    schema = "vocab string, value string, n_rows long, ref_id string, distance int, key string"
+    parts, results = [], []
     for s in range(shards):
         rows = [tuple(r) for r in ref.filter(F.pmod(F.xxhash64("ref_id"), F.lit(shards)) == s).collect()]
+        frequent -= entry_words(rows)
         # a shard needs the organs of its own adjectives only, however many the list has
         own = {w[0] for r in rows if len(w := tokens(r[2] or "")) == 2}
         organs = dict(ORGANS)
         if own:
             organs |= {r.adjective: r.noun for r in learned.join(spark.createDataFrame([(x,) for x in sorted(own)], "adjective string"), "adjective", "left_semi").collect()}
-        shipped = spark.sparkContext.broadcast((rows, organs))
+        parts.append(spark.sparkContext.broadcast((uuid.uuid4().hex, rows, organs)))
+    decoration = frozenset(frequent)
+    for shipped in parts:
 
         def search(batches: Iterator[pd.DataFrame], shipped=shipped) -> Iterator[pd.DataFrame]:
-            index = Index(*shipped.value)
+            token, rows, organs = shipped.value
+            if token not in _built:
+                # one index a worker process; that of an earlier shard makes room
+                _built.clear()
+                _built[token] = Index(rows, organs, decoration)
             for b in batches:
-                out = []
-                for vocab, value in zip(b["vocab"], b["value"]):
-                    hit = index.best(vocab, value)
-                    out.append((vocab, value, *((hit[2], hit[0], hit[3]) if hit else (None, None, None))))
-                frame = pd.DataFrame(out, columns=["vocab", "value", "ref_id", "distance", "key"])
-                frame["distance"] = frame["distance"].astype("Int32")
-                yield frame
-
-        results.append(distinct.mapInPandas(search, schema))
+                for s in range(0, len(b), 2000):
+                    part = b.iloc[s : s + 2000]
+                    hits = _built[token].best_of(list(zip(part["vocab"], part["value"])))
+                    frame = pd.DataFrame([(h[2], h[0], h[3]) if h else (None, None, None) for h in hits], columns=["ref_id", "distance", "key"])
+                    frame["distance"] = frame["distance"].astype("Int32")
+                    yield pd.concat([part.reset_index(drop=True), frame], axis=1)
+
+        results.append(spread_values.select("vocab", "value", "n_rows").mapInPandas(search, schema))
     if len(results) == 1:
         return results[0]
-    every = reduce(DataFrame.unionAll, results)
-    rank = F.struct(F.coalesce("distance", F.lit(99)).alias("d"), (-F.length(F.coalesce("key", F.lit("")))).alias("l"), "ref_id", "distance", "key")
-    return every.groupBy("vocab", "value").agg(F.min(rank).alias("m")).select("vocab", "value", "m.ref_id", "m.distance", "m.key")
+    every = reduce(DataFrame.unionAll, results).filter(F.col("ref_id").isNotNull())
+    rank = F.struct((3 * F.col("distance") - F.length("key")).alias("o"), "distance", "ref_id", "key")
+    best = every.groupBy("vocab", "value").agg(F.min(rank).alias("m")).select("vocab", "value", "m.ref_id", "m.distance", "m.key")
+    return distinct.join(best, ["vocab", "value"], "left")
 
 
 def map_columns(df: DataFrame, id_col: str, fields: dict[str, str], reference: DataFrame, shard_rows: int = 20_000) -> DataFrame:
-    """One row per id and non-null field of ``fields`` (column to vocabulary): id, field_name, value, ref_id (null: unmatched), distance."""
+    """One row per id and non-null field of ``fields`` (column to vocabulary): id, field_name, value, ref_id (null: unmatched), distance, key.
+
+    Values that fill a 200th of the rows or more, at most 200 of them, are joined back by broadcast; the others by value.
+    """
     stack = F.explode(F.array(*[F.struct(F.lit(c).alias("field_name"), F.lit(v).alias("vocab"), F.col(c).alias("value")) for c, v in fields.items()])).alias("x")
     long = df.select(F.col(id_col), stack).select(id_col, "x.*").filter(F.col("value").isNotNull())
-    mapped = map_values(long, reference, shard_rows)
-    return long.join(mapped, ["vocab", "value"], "left").select(id_col, "field_name", "value", "ref_id", "distance", "key")
+    mapped = materialize(map_values(long, reference, shard_rows), "mapped-values")
+    least = max(1, -(-(mapped.agg(F.sum("n_rows")).first()[0] or 0) // 200))
+    hot, rest = mapped.filter(F.col("n_rows") >= least).drop("n_rows"), mapped.filter(F.col("n_rows") < least).drop("n_rows")
+    names = [id_col, "field_name", "value", "ref_id", "distance", "key"]
+    hit = long.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), ["vocab", "value"], "left")
+    found = hit.filter("_hot").select(*names)
+    other = hit.filter("_hot is null").select(id_col, "field_name", "vocab", "value").join(rest, ["vocab", "value"], "left")
+    return found.unionByName(other.select(*names))
