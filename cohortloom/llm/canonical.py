@@ -3,7 +3,7 @@
 The answer's metric is the unrestricted Damerau-Levenshtein distance (insert, delete, substitute, swap of neighbours,
 each 1). The trees are kept under the Levenshtein distance, a true metric in which a swap is 2, so a radius of twice the
 threshold holds every key within the threshold, and the exact distance of the few that are left decides. Distances of many
-texts to one key are taken at once, bit-parallel, so a tree is walked by all texts of a batch together.
+texts to one key are taken side by side, bit-parallel, and a tree is walked by all texts of a batch together.
 
 A value names an entry with a part of its words: every run of its words, of up to the longest key's length, is asked of
 the tree. Numbers bear no edits, so keys of different numbers stand in different trees. Words that many values have and
@@ -81,53 +81,76 @@ def edit_distance(a: str, b: str) -> int:
     return rows[-1][-1]
 
 
+class Key:
+    """A key with the places of its characters as bits, for Myers' bit-parallel Levenshtein distance."""
+
+    def __init__(self, text: str) -> None:
+        self.text, self.bits = text, defaultdict(int)
+        for i, c in enumerate(text):
+            self.bits[c] |= 1 << i
+        self.letters = np.array(sorted(map(ord, self.bits)), dtype="uint32")
+
+    def distance(self, text: str) -> int:
+        if not self.text:
+            return len(text)
+        score, top, full = len(self.text), 1 << (len(self.text) - 1), (1 << len(self.text)) - 1
+        plus, minus, get = full, 0, self.bits.get
+        for c in text:
+            eq = get(c, 0)
+            xv = eq | minus
+            xh = (((eq & plus) + plus) ^ plus) | eq
+            ph, mh = minus | (full & ~(xh | plus)), plus & xh
+            if ph & top:
+                score += 1
+            elif mh & top:
+                score -= 1
+            ph = (ph << 1) | 1
+            plus, minus = (mh << 1 | ~(xv | ph)) & full, ph & xv & full
+        return score
+
+
 class Texts:
     """Texts as rows of character codes, to be compared with one key at a time."""
 
     def __init__(self, texts: list[str]) -> None:
         self.texts, self.sizes = texts, np.array([len(t) for t in texts], dtype="int64")
-        self.codes = np.zeros((len(texts), int(self.sizes.max(initial=0))), dtype="uint32")
+        self.codes = np.zeros((int(self.sizes.max(initial=0)), len(texts)), dtype="uint32")
         for i, t in enumerate(texts):
-            self.codes[i, : len(t)] = np.frombuffer(t.encode("utf-32-le"), dtype="uint32")
-
-    def distances(self, key: str, rows: np.ndarray) -> np.ndarray:
-        """Levenshtein distances of the texts ``rows`` to ``key``: one bit a character of the key, 64 to a pass, carried from pass to pass."""
-        sizes = self.sizes[rows]
-        codes = self.codes[rows, : int(sizes.max(initial=0))]
-        score = np.full(len(rows), len(key), dtype="int64")
-        if not key:
-            return sizes.copy()
-        letters = np.unique(np.frombuffer(key.encode("utf-32-le"), dtype="uint32"))
-        place = np.minimum(np.searchsorted(letters, codes), len(letters) - 1)
-        known = letters[place] == codes
-        # horizontal steps along the lower edge of the pass above; the top edge goes up by one with each character
-        up, down = np.ones(codes.shape, dtype=bool), np.zeros(codes.shape, dtype=bool)
-        for start in range(0, len(key), 64):
-            part = key[start : start + 64]
-            masks = np.array([sum(1 << i for i, c in enumerate(part) if ord(c) == x) for x in letters.tolist()], dtype="uint64")
-            top = np.uint64(len(part) - 1)
-            plus, minus = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), dtype="uint64")
-            for j in range(codes.shape[1]):
-                eq = np.where(known[:, j], masks[place[:, j]], np.uint64(0))
-                sink = down[:, j].astype("uint64")
-                xv = eq | minus
-                eq = eq | sink
-                xh = (((eq & plus) + plus) ^ plus) | eq
-                ph, mh = minus | ~(xh | plus), plus & xh
-                rise, fall = (ph >> top) & _ONE != 0, (mh >> top) & _ONE != 0
-                ph, mh = (ph << _ONE) | up[:, j].astype("uint64"), (mh << _ONE) | sink
-                plus, minus = mh | ~(xv | ph), ph & xv
-                up[:, j], down[:, j] = rise, fall
-        inside = np.arange(codes.shape[1])[None, :] < sizes[:, None]
-        return score + (up & inside).sum(1) - (down & inside).sum(1)
+            self.codes[: len(t), i] = np.frombuffer(t.encode("utf-32-le"), dtype="uint32")
+
+    def distances(self, key: Key, rows: np.ndarray) -> np.ndarray:
+        """Levenshtein distances of the texts ``rows`` to ``key``; many texts go a character a step, side by side, if the key has no more than 64."""
+        if len(rows) < 40 or not 0 < len(key.text) <= 64:
+            return np.array([key.distance(self.texts[i]) for i in rows.tolist()], dtype="int64")
+        order = np.argsort(-self.sizes[rows], kind="stable")
+        sizes = self.sizes[rows[order]]
+        codes = self.codes[: int(sizes[0]), rows[order]]
+        place = np.minimum(np.searchsorted(key.letters, codes), len(key.letters) - 1)
+        masks = np.array([key.bits[chr(x)] for x in key.letters.tolist()], dtype="uint64")
+        matches = np.where(key.letters[place] == codes, masks[place], np.uint64(0))
+        score = np.full(len(rows), len(key.text), dtype="int64")
+        plus, minus, top = np.full(len(rows), ~np.uint64(0)), np.zeros(len(rows), dtype="uint64"), np.uint64(len(key.text) - 1)
+        # longest texts first: those that are still read are a prefix
+        for j, n in enumerate(np.searchsorted(-sizes, -np.arange(len(codes)), side="left").tolist()):
+            eq, plus, minus = matches[j, :n], plus[:n], minus[:n]
+            xv = eq | minus
+            xh = (((eq & plus) + plus) ^ plus) | eq
+            ph, mh = minus | ~(xh | plus), plus & xh
+            score[:n] += ((ph >> top) & _ONE).view("int64") - ((mh >> top) & _ONE).view("int64")
+            ph = (ph << _ONE) | _ONE
+            plus, minus = (mh << _ONE) | ~(xv | ph), ph & xv
+        out = np.empty(len(rows), dtype="int64")
+        out[order] = score
+        return out
 
 
 class BKTree:
     """Keys in a tree under the Levenshtein distance; a search returns every key within a threshold of ``edit_distance``."""
 
     def __init__(self, keys: Iterable[str] = ()) -> None:
-        self.nodes: list[tuple[str, dict[int, int]]] = []
+        self.nodes: list[tuple[Key, dict[int, int]]] = []
         every = list(dict.fromkeys(keys))
+        self.span = (min(map(len, every), default=0), max(map(len, every), default=0))
         if every:
             self._grow(Texts(every))
 
@@ -138,25 +161,31 @@ class BKTree:
             rows, parent, edge = todo.pop()
             if parent is not None:
                 self.nodes[parent][1][edge] = len(self.nodes)
-            self.nodes.append((keys.texts[rows[0]], {}))
+            root = Key(keys.texts[rows[0]])
+            self.nodes.append((root, {}))
             here, rest = len(self.nodes) - 1, rows[1:]
             if len(rest):
-                d = keys.distances(keys.texts[rows[0]], rest)
+                d = keys.distances(root, rest)
                 todo += [(rest[d == x], here, x) for x in np.unique(d).tolist()]
 
     def search_all(self, texts: list[str], thresholds: list[int]) -> dict[int, list[tuple[int, str]]]:
         """By position of the text, the (distance, key) within its threshold; all texts go down the tree together."""
         out: dict[int, list[tuple[int, str]]] = defaultdict(list)
+        if not self.nodes or not texts:
+            return out
         asked, limit = Texts(texts), np.array(thresholds, dtype="int64")
-        todo = [(0, np.arange(len(texts)))] if self.nodes and texts else []
+        # no key is nearer than the difference of the lengths
+        todo = [(0, np.flatnonzero((asked.sizes + limit >= self.span[0]) & (asked.sizes - limit <= self.span[1])))]
         while todo:
             at, rows = todo.pop()
+            if not len(rows):
+                continue
             key, children = self.nodes[at]
             d, radius = asked.distances(key, rows), 2 * limit[rows]
             for i in rows[d <= radius].tolist():
-                exact = edit_distance(texts[i], key)
+                exact = edit_distance(texts[i], key.text)
                 if exact <= limit[i]:
-                    out[i].append((exact, key))
+                    out[i].append((exact, key.text))
             for edge, child in children.items():
                 near = np.abs(d - edge) <= radius
                 if near.any():
@@ -325,8 +354,8 @@ def map_values(values: DataFrame, reference: DataFrame, shard_rows: int = 20_000
                 _built.clear()
                 _built[token] = Index(rows, organs, decoration)
             for b in batches:
-                for s in range(0, len(b), 2000):
-                    part = b.iloc[s : s + 2000]
+                for s in range(0, len(b), 5000):
+                    part = b.iloc[s : s + 5000]
                     hits = _built[token].best_of(list(zip(part["vocab"], part["value"])))
                     frame = pd.DataFrame([(h[2], h[0], h[3]) if h else (None, None, None) for h in hits], columns=["ref_id", "distance", "key"])
                     frame["distance"] = frame["distance"].astype("Int32")
