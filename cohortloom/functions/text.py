@@ -29,6 +29,7 @@ KIND_PATTERNS = (
 TREATED_ROLES = ("treated", "perturbed", "case", "secondary_arm")
 CONTROL_ROLES = ("control", "vehicle_control", "untreated_control", "negative_genetic_control", "negative_inducer_control", "baseline_t0", "comparison")
 NEUTRAL_ROLES = ("bystander", "excluded", "unclear", "positive_control")
+GRANULAR_ROLES = ("negative_inducer_control", "baseline_t0", "secondary_arm", "bystander")
 METHOD_TAG = r"(?i)\[(scRNA|RNA-Seq|RNA-seq|single-cell|bulk|ATAC|ChIP)|\((scRNA|RNA-seq|bulk|ATAC|ChIP)"
 KIND_NAMES = {"cytokine_stimulation": "cytokine_stim", "environmental_or_behavioral": "environmental", "mechanical_or_physical": "mechanical"}
 # --------------------------------------------------------------------------------------------------------
@@ -84,6 +85,16 @@ def role_binary(role: Column) -> Column:
     )
 
 
+def role_five(role: Column) -> Column:
+    """The five coarse roles: treated, control, bystander, excluded and unclear; null stays null."""
+    return F.when(role.isin("bystander", "excluded"), role).when(role.isin("unclear", "positive_control"), "unclear").otherwise(role_binary(role))
+
+
+def super_series(summary: Column) -> Column:
+    """Whether a study is only the parent of others."""
+    return F.coalesce(summary.startswith("This SuperSeries is composed of"), F.lit(False))
+
+
 def label_binary(label: Column) -> Column:
     """treated or control for a free label in any case and with blanks, else null."""
     x = F.lower(F.trim(label))
@@ -270,6 +281,27 @@ def messages(system: Column, user: Column) -> Column:
     return F.array(F.struct(F.lit("system").alias("role"), system.alias("content")), F.struct(F.lit("user").alias("role"), user.alias("content")))
 
 
+def split_system(messages_: Column) -> tuple[Column, Column]:
+    """(system texts joined by a blank line, the other messages)."""
+    system = F.array_join(F.transform(F.filter(messages_, lambda m: m["role"] == "system"), lambda m: m["content"]), "\n\n")
+    return system, F.filter(messages_, lambda m: m["role"] != "system")
+
+
+def study_prompt(series: Column, summary: Column, samples: Column, part: Column, parts: Column, total: Column) -> Column:
+    """Prompt lines of a study's samples as compact JSON; the lines of a chunk only where there are several, and of the total where it is known."""
+    chunk = F.when(part.isNotNull() & parts.isNotNull(), F.concat(F.lit("chunk: "), part.cast("string"), F.lit("/"), parts.cast("string")))
+    whole = F.when(total.isNotNull(), F.concat(F.lit("study_total_samples: "), total.cast("string")))
+    return F.concat_ws("\n", F.concat(F.lit("series_id: "), series), chunk, whole, F.concat(F.lit("study_summary: "), F.coalesce(summary, F.lit(""))), F.lit("samples:"), F.to_json(samples, {"ignoreNullFields": "false"}))
+
+
+def schema_prompt(template: str, schema: dict, record_id: Column, text: Column) -> Column:
+    """A prompt of any task: template, the schema with sorted keys, the record's id and text."""
+    import json
+
+    head = f"{template.strip()}\n\nReturn exactly one JSON object matching this schema.\n{json.dumps(schema, indent=2, sort_keys=True)}\n\nRecord ID: "
+    return F.concat(F.lit(head), record_id.cast("string"), F.lit("\nRecord text:\n"), F.coalesce(text, F.lit("")), F.lit("\n\nJSON:"))
+
+
 def fact_prompt(accession: Column, series: Column, text: Column) -> Column:
     """Prompt lines of one sample; null lines are left out."""
     return F.concat_ws("\n", F.concat(F.lit("sample: "), accession), F.concat(F.lit("study: "), series), F.concat(F.lit("text: "), text))

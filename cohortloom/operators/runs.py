@@ -8,6 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.lookup import path_exists
+from ..workspace import materialize
+
 # --- fixed values: scheduler states ----------------------------------------------------------------------
 QUEUED = ("pending", "configuring", "resv_del_hold", "requeue_hold", "suspended")
 RUNNING = ("running", "completing", "stage_out")
@@ -53,6 +56,17 @@ def read_through(requests: DataFrame, log: DataFrame, compute: Callable[[DataFra
     return hits.unionByName(compute(misses).select("key", "value", F.lit(False).alias("hit")))
 
 
+def stored_read_through(spark: SparkSession, requests: DataFrame, store: str, compute: Callable[[DataFrame], DataFrame], valid: Column) -> DataFrame:
+    """(key, value, hit) over a store: missing keys are computed once, those that pass ``valid`` are appended to the store and returned."""
+    known = spark.read.schema("key string, value string").parquet(store) if path_exists(spark, store) else spark.createDataFrame([], "key string, value string")
+    known = known.dropDuplicates(["key"])
+    wanted = requests.select("key", "payload").filter(F.col("key").isNotNull()).dropDuplicates(["key"])
+    hits = materialize(wanted.join(known, "key").select("key", "value", F.lit(True).alias("hit")), "hits")
+    fresh = materialize(compute(wanted.join(known.select("key"), "key", "left_anti")).filter(valid).select("key", "value", F.lit(False).alias("hit")), "computed")
+    fresh.select("key", "value").write.mode("append").parquet(store)
+    return hits.unionByName(fresh)
+
+
 def run_upsert(log: DataFrame, key: str, at: str) -> DataFrame:
     """Current rows of a registry of partial updates: per column the last value that isn't null."""
     cols = [c for c in log.columns if c not in (key, at)]

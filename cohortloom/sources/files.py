@@ -39,11 +39,18 @@ def read_json_documents(spark: SparkSession, path: str, schema: T.StructType) ->
     return spark.read.schema(schema).option("multiLine", True).json(path).withColumn("file_name", F.col("_metadata.file_name"))
 
 
-def read_shards(spark: SparkSession, glob: str, key: str) -> DataFrame:
-    """Text shards by glob, in order of file name, first row of a key kept; the key is read off the raw line before parsing."""
-    lines = spark.read.text(glob).select("value", F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("line"))
+def read_shards(spark: SparkSession, glob: str, key: str, path_order: bool = False, wanted: DataFrame | None = None) -> DataFrame:
+    """JSON-line shards by glob, the first readable row of a key kept, in order of file name (or whole path) and place in the file.
+
+    The key is read off the raw line by its pattern, and with ``wanted`` (a table with ``key``) other lines go before any
+    JSON is parsed; lines without the key or that aren't JSON are left out.
+    """
+    name = F.col("_metadata.file_path" if path_order else "_metadata.file_name")
+    lines = spark.read.text(glob).select("value", name.alias("file_name"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
     keyed = lines.withColumn("key", F.regexp_extract("value", f'"{key}"\\s*:\\s*"([^"]+)"', 1)).filter("key <> ''")
-    return keyed.groupBy("key").agg(F.min_by("value", F.struct("file_name", "line")).alias("value"))
+    if wanted is not None:
+        keyed = keyed.join(wanted.select("key").distinct(), "key", "left_semi")
+    return keyed.filter(F.try_parse_json("value").isNotNull()).groupBy("key").agg(F.min_by("value", F.struct("file_name", "block", "line")).alias("value"))
 
 
 def write_split(df: DataFrame, root: str, outputs: dict[str, str]) -> None:
