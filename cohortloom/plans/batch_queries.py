@@ -287,7 +287,7 @@ _PLAN = """costs as (select doc_id // 500 as file_id, doc_id, greatest(1, ceil(s
 _LOG = "log as (select user_id || ':' || event_type as key, props as value, ts as put_at, event_id from events)"
 _KIND_SQL = "case when k in ('unknown') then 'treatment_vs_vehicle' else k end"
 _STATE_SQL = """st as (select user_id, ts, event_id, case when event_type = 'purchase' and event_id % 4 = 0 then 'collected' else case event_type when 'signup' then 'queued' when 'view' then 'running' when 'click' then 'running' when 'purchase' then 'completed' else 'failed' end end as state
-    from events where event_type <> 'error' or event_id % 50 = 0)"""
+    from events)"""
 _RAW = """raw as (select event_id, case event_id % 5 when 1 then substr(props, 1, length(props) - 1) when 2 then substr(props, 1, length(props) - 1) || ', "x": 1}' when 3 then '{"k": "seven"}' when 4 then '{}' else props end as raw, event_id % 5 as m, (props ->> '$.k')::int as k from events)"""
 _ERRORS = """errs as (select event_id, case m when 1 then 'not an object' when 2 then 'additional: x' || case when k > 60 then '; maximum: k' else '' end when 3 then 'type: k' when 4 then 'missing: k' else case when k > 60 then 'maximum: k' else '' end end as errors from raw)"""
 
@@ -321,7 +321,7 @@ def _oracle() -> dict[str, str]:
             from (select *, substr(raw_output, greatest(1, length(raw_output) - 50), 51) as tail from fact_records)) select * from f qualify row_number() over (partition by mode order by sha256('1:' || fact_id), fact_id) <= case mode when 'A' then 15 when 'B' then 5 else 10 end""",
         "cache_latest": f"with {_LOG} select key, value, event_id from log qualify row_number() over (partition by key order by put_at desc, event_id desc) = 1",
         "cache_statistics": f"with {_LOG} select count(*) as n_entries, count(distinct key) as n_keys from log",
-        "cache_files": f"with {_LOG} select key, value from log where event_id % 3 < 2 qualify row_number() over (partition by key order by put_at desc) = 1",
+        "cache_files": f"with {_LOG} select key, value from log qualify row_number() over (partition by key order by put_at desc) = 1",
         "read_through": f"with {_LOG} select key, sha256(key) as value, bool_or(event_id % 2 = 0) as hit from log group by 1",
         "run_registry": """select series_id, arg_max(worker_id, {'t': ts, 'f': fact_id}) filter (fact_id % 3 <> 0) as worker, arg_max(record_id, {'t': ts, 'f': fact_id}) filter (valid_schema) as last_valid, arg_max(fact_id, {'t': ts, 'f': fact_id}) as last_fact from fact_records group by 1""",
         "scheduler_states": f"with {_STATE_SQL} select state, count(*) as n from st group by 1",
