@@ -57,6 +57,17 @@ def record_report(df: DataFrame, id_col: str) -> DataFrame:
     return df.agg(F.count("*").alias("n_rows"), F.count_if(x.isNull() | (F.trim(x) == "")).alias("n_blank"), (F.count(x) - F.count_distinct(x)).alias("n_repeated"))
 
 
+def import_reviewed(df: DataFrame, required: list[str], label: str, vocabulary: list[str]) -> DataFrame:
+    """Rows with a label; missing columns, and labels outside the vocabulary, raise an error that names them."""
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    strange = out_of_vocabulary(df, label, vocabulary).orderBy(label).limit(20).collect()
+    if strange:
+        raise ValueError(f"unknown {label}: {', '.join(str(r[0]) for r in strange)}")
+    return df.filter(F.col(label).isNotNull())
+
+
 def out_of_vocabulary(df: DataFrame, column: str, vocabulary: list[str]) -> DataFrame:
     """Distinct non-null values outside a vocabulary, with their counts."""
     return df.filter(F.col(column).isNotNull() & ~F.col(column).isin(*vocabulary)).groupBy(column).agg(F.count("*").alias("n_rows"))

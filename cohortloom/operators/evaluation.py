@@ -41,6 +41,13 @@ def binary_metrics(df: DataFrame, gold: str, predicted: str, *groups: str) -> Da
     )
 
 
+def validity_rate(df: DataFrame, valid: str) -> DataFrame:
+    """One row: rows and the share that is valid, unknown counting as not; no rows raise an error when the result is read."""
+    n = F.count("*")
+    rate = F.round(F.avg(F.coalesce(F.col(valid), F.lit(False)).cast("double")), 6)
+    return df.agg(n.alias("n"), F.when(n == 0, F.raise_error(F.lit("no rows to rate")).cast("double")).otherwise(rate).alias("rate"))
+
+
 def confusion(df: DataFrame, gold: str, predicted: str, levels: list[str]) -> DataFrame:
     """Counts of all level pairs, zero counts included."""
     spark = df.sparkSession

@@ -294,6 +294,25 @@ def shred(df: DataFrame, id_col: str, text_col: str, graph: ElementGraph, signat
     return rows.mapInPandas(run, schema).withColumnRenamed("record_key", id_col)
 
 
+def record_texts(df: DataFrame, id_col: str, text_col: str, signature: frozenset[str]) -> DataFrame:
+    """(id, record): the record of each text that has one, as compact JSON, whatever it was wrapped in; fields that are encoded as text are opened."""
+    kind = df.schema[id_col].dataType.simpleString()
+
+    def opened(value: object) -> object:
+        value = _as_object(value) if isinstance(value, str) and value[:1] in "{[" else value
+        if isinstance(value, dict):
+            return {k: opened(v) for k, v in value.items()}
+        return [opened(v) for v in value] if isinstance(value, list) else value
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            found = [(k, find_record(t if isinstance(t, str) else None, signature)) for k, t in zip(b["k"], b["t"])]
+            yield pd.DataFrame([(k, json.dumps(opened(r), ensure_ascii=False)) for k, r in found if r is not None], columns=["k", "record"])
+
+    rows = spread(df.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")))
+    return rows.mapInPandas(run, f"k {kind}, record string").withColumnRenamed("k", id_col)
+
+
 def relation_table(shredded: DataFrame, id_col: str, graph: ElementGraph, relation: str) -> DataFrame:
     """One relation as a flat table: key ``(id_col, node)``, foreign key ``(parent_relation, parent_node)``, ordinal, inlined leaves."""
     keys = [id_col, "node", "parent_relation", "parent_node", "edge", "ordinal"]

@@ -45,6 +45,41 @@ def stratified(df: DataFrame, stratum: str, targets: dict[str, int], id_col: str
     return pool.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max(wanted.values())).filter(F.col("_r") <= limit).drop("_r")
 
 
+def require_unique(df: DataFrame, key: str) -> DataFrame:
+    """``df``, or an error that names a key which occurs twice."""
+    twice = df.groupBy(key).count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{key} {twice[0]} occurs {twice['count']} times")
+    return df
+
+
+def require_rows(df: DataFrame, least: int, name: str) -> DataFrame:
+    """``df``, or an error if it has fewer than ``least`` rows; no more than ``least`` are counted."""
+    n = df.limit(least).count()
+    if n < least:
+        raise ValueError(f"{name}: {n} rows, fewer than {least}")
+    return df
+
+
+def quota_sample(df: DataFrame, pinned: Column, stratum: str, quotas: dict[str, int], total: int, id_col: str, seed: int) -> DataFrame:
+    """``total`` rows: the pinned ones, then the first of each stratum by hash up to its quota, then the rest by hash; ``step`` tells which (0, 1, 2).
+
+    No stratum is ordered as a whole: only the first rows of each step by hash are taken. Strata without a quota fill up.
+    """
+    pin = F.coalesce(pinned, F.lit(False))
+    marked = df.withColumn("_pin", pin).withColumn("_h", hash_order(seed, id_col))
+    parts = [marked.filter("_pin").withColumn("step", F.lit(0)).orderBy("_h", id_col).limit(total)]
+    for k, n in quotas.items():
+        parts.append(marked.filter(~F.col("_pin") & (F.col(stratum) == k)).withColumn("step", F.lit(1)).orderBy("_h", id_col).limit(n))
+    chosen = parts[0]
+    for p in parts[1:]:
+        chosen = chosen.unionByName(p)
+    # the first ``total`` rows of the rest lie among the first total + chosen rows of all
+    most = total + sum(quotas.values())
+    rest = marked.filter("not _pin").withColumn("step", F.lit(2)).orderBy("_h", id_col).limit(most).join(chosen.select(id_col), id_col, "left_anti")
+    return chosen.unionByName(rest.select(*chosen.columns)).orderBy("step", "_h", id_col).limit(total).drop("_h", "_pin")
+
+
 def quartile_strata(df: DataFrame, value: str, name: str = "quartile") -> DataFrame:
     """Q1 to Q4 by right-closed quartile cuts with the minimum in Q1; null stays null."""
     cuts = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_c"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["nested_facts", "unit_amounts", "text_queries", "evaluation_queries", "study_queries", "batch_queries", "run_queries"]
+MODULES = ["nested_facts", "unit_amounts", "text_queries", "evaluation_queries", "study_queries", "batch_queries", "run_queries", "report_queries"]
 
 
 def _collect(attribute: str) -> dict:

@@ -171,18 +171,6 @@ def run_sources(spark, sf):
     return merged_runs(spark, sf).groupBy("source").agg(F.count("*").alias("n"), F.count("worker_id").alias("n_worker"))
 
 
-def resplit_merge(spark, sf):
-    """Records all of whose parts succeeded move to the predictions, tagged; the others stay errors."""
-    f = _t(spark, sf, "fact_records").groupBy("record_id").agg(F.bool_and("valid_schema").alias("ok"))
-    return f.groupBy(F.when(F.col("ok"), "resplit").otherwise("error").alias("tag")).agg(F.count("*").alias("n"))
-
-
-def siblings(spark, sf):
-    d = _t(spark, sf, "documents").select("doc_id", "text", "lang")
-    out = records.siblings(d.filter("lang is null"), d.filter("lang is not null"), "text", "doc_id")
-    return out.select("doc_id", "copied_from")
-
-
 def once_per_series(spark, sf):
     s = _t(spark, sf, "samples").select("geo_accession", "series_id", "sample_string").filter("sample_string is not null")
     out = records.once_per_key(s, "series_id", {"first_id": F.trim(F.split("series_id", ",")[0]), "digest": F.md5("series_id")})
@@ -254,7 +242,7 @@ _MERGED = """parts as (select record_id, fact_id, null::int as worker_id, 'main'
 
 QUERIES = {f.__name__: f for f in (
     resolved_series, branch_counts, pair_decisions, pair_summary, days_apart, shared_samples, cascade_lookup, role_map, role_map_first, comparison_table, shared_anchors, ordinal_group_labels, group_texts, latest_samples,
-    earliest_facts, patched_samples, quarantined_studies, facts_outside_quarantine, whole_groups, valid_invalid, merged_runs, run_sources, resplit_merge, siblings, once_per_series, pending_records, known_series_rows,
+    earliest_facts, patched_samples, quarantined_studies, facts_outside_quarantine, whole_groups, valid_invalid, merged_runs, run_sources, once_per_series, pending_records, known_series_rows,
     series_of_records, enriched_texts, accession_sets, padded_union,
 )}
 
@@ -292,8 +280,6 @@ ORACLE_SQL = {
     "valid_invalid": "select case when coalesce(valid_schema, false) then 'valid' else 'invalid' end as part, count(*) as n from fact_records group by 1",
     "merged_runs": f"with {_MERGED} select record_id, fact_id, source, worker_id from merged",
     "run_sources": f"with {_MERGED} select source, count(*) as n, count(worker_id) as n_worker from merged group by 1",
-    "resplit_merge": "select case when ok then 'resplit' else 'error' end as tag, count(*) as n from (select record_id, bool_and(valid_schema) as ok from fact_records group by 1) group by 1",
-    "siblings": "select a.doc_id, min(b.doc_id) as copied_from from documents a join documents b on a.text = b.text where a.lang is null and b.lang is not null group by 1",
     "once_per_series": "select trim(string_split(series_id, ',')[1]) as first_id, md5(series_id) as digest, count(*) as n from samples where sample_string is not null group by 1, 2",
     "pending_records": "select distinct geo_accession as record_id from samples where geo_accession not in (select record_id from fact_records)",
     "known_series_rows": "select series_id, count(*) as n from samples where regexp_matches(series_id, '^GSE[0-9]+$') and series_id in (select series_id from studies where not is_super_series) group by 1",

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..contracts import fact_schema
 from ..functions import text as X
 
 
@@ -95,10 +94,6 @@ def token_tiers(spark, sf):
     return F.broadcast(levels).join(got, "tier", "left").select("tier", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("tokens", F.lit(0)).alias("tokens"), X.tier_tokens(F.col("tier")).alias("max_tokens"))
 
 
-def size_outliers(spark, sf):
-    return _t(spark, sf, "documents").filter(F.length("text") > 3500).select("doc_id", F.length("text").alias("n"))
-
-
 def prompts(spark, sf):
     s = _t(spark, sf, "samples").select("geo_accession", "series_id", "sample_string").distinct()
     user = X.fact_prompt(F.col("geo_accession"), F.col("series_id"), F.col("sample_string"))
@@ -131,32 +126,23 @@ def clock_times(spark, sf):
     return s.select("series_id", text.alias("clock"), X.clock_seconds(text).alias("seconds"), F.floor(X.clock_seconds(text) / 60).alias("minutes"))
 
 
-def anchor_keys(spark, sf):
-    """Thirteen-segment keys of readable facts; not in SQL, see the golden tests."""
-    f = _t(spark, sf, "fact_records").select("fact_id", F.from_json(X.tolerant_json(F.col("raw_output")), fact_schema()).alias("fact"))
-    return f.filter("fact.geo_accession is not null").select("fact_id", X.anchor_key("fact", F.lit("treated")).alias("anchor"))
-
-
-def inducer_log(spark, sf):
-    """One row per mediated perturbation."""
-    f = _t(spark, sf, "fact_records").select("fact_id", F.from_json(X.tolerant_json(F.col("raw_output")), fact_schema()).alias("fact"))
-    p = f.select("fact_id", F.posexplode("fact.perturbations").alias("pos", "p")).filter("p.mediated_effect.kind is not null")
-    return p.select("fact_id", "pos", F.coalesce("p.agent_normalized.preferred_name", "p.agent_raw", F.lit("unknown")).alias("inducer"), F.col("p.mediated_effect.kind").alias("kind"), F.array_join("p.mediated_effect.targets", ",").alias("targets"))
-
-
-def _alternation(kind: str) -> str:
-    tests = [f"regexp_matches(t, '{p}')" for p in X.kind_patterns(kind) if p]
-    return f"when {' or '.join(tests)} then '{kind}'"
-
-
-_KIND = "case " + " ".join(_alternation(k) for k, _ in X.KIND_PATTERNS) + " else 'unknown' end"
+_KIND = r"""case
+    when regexp_matches(t, '(?i)(?:factorial)|(?:\+\w+\s+\+\w+)|(?:\+\w+\s+-\w+)') then 'factorial'
+    when regexp_matches(t, '(?i)(?:conditioned\s+media)|(?:transwell)|(?:co-?culture)|(?:paracrine)|(?:bystander\s+effect)') then 'mediated_effect'
+    when regexp_matches(t, '(?i)(?:irradiat)|(?:untreated.*treated)|(?:sham.*irradiat)') or regexp_matches(t, '(?:(\d+\s*[Gg]y\b.*){2,})|(?:(0\s*[Gg]y).*(\d+\s*[Gg]y))') then 'treatment_vs_untreated'
+    when regexp_matches(t, '(?i)(?:(\d+\s*[hd]\b.*){2,})|(?:time\s*course)|(?:kinetic)') then 'time_course'
+    when regexp_matches(t, '(?i)(?:\bsiRNA\b)|(?:\bshRNA\b)|(?:knockdown)|(?:knock-?down)|(?:inducible.*[Dd]ox)|(?:[Dd]ox.*induc)|(?:tetracycline.*induc)') or regexp_matches(t, '(?:\bsi-?[A-Z][A-Z0-9]+\b)|(?:\bsh-?[A-Z][A-Z0-9]+\b)|(?:[+-]\s*[Dd]ox\b)') then 'knockdown_panel'
+    when regexp_matches(t, '(?i)(?:\bknockout\b)|(?:wild-?type)') or regexp_matches(t, '(?:\bKO\b)|(?:-/-)|(?:\+/\+)|(?:\bWT\b)') then 'knockout_vs_wt'
+    when regexp_matches(t, '(?i)(?:\bdisease\b)|(?:\bcancer\b)|(?:\btumor\b)|(?:\btumour\b)|(?:patient)|(?:carcinoma)|(?:glioblastoma)|(?:leukemia)|(?:lymphoma)|(?:(healthy|normal).*(control|tissue|cortex|donor))') then 'disease_vs_normal'
+    when regexp_matches(t, '(?i)(?:\bDMSO\b)|(?:\bvehicle\b)|(?:\bdrug\b)|(?:compound)') or regexp_matches(t, '(?:\b\d+\s*[uM]M\b)|(?:\b\d+\s*nM\b)') then 'treatment_vs_vehicle'
+    else 'unknown' end"""
 _NZ = "coalesce({0} <> '', false)"
 _SLUG = "nullif(regexp_replace(substr(regexp_replace(regexp_replace(lower(study_title), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g'), 1, 24), '-+$', ''), '')"
 _CLOCK = "printf('%02d:%02d:%02d', {0} // 3600, ({0} // 60) % 60, {0} % 60)"
 
 QUERIES = {f.__name__: f for f in (
     composed_text, reject_counts, keyword_label, keyword_kind, keyword_kind_documents, dose_duration_keys, cell_and_kind_keys, kind_names, hash_keys, slugs, first_of_list,
-    failure_modes, fenced_outputs, parse_rates, token_tiers, size_outliers, prompts, job_scripts, method_tags, iso_stamps, clock_times, anchor_keys, inducer_log,
+    failure_modes, fenced_outputs, parse_rates, token_tiers, prompts, job_scripts, method_tags, iso_stamps, clock_times,
 )}
 
 ORACLE_SQL = {
@@ -165,7 +151,7 @@ ORACLE_SQL = {
     "reject_counts": """select case when lang is null or source is null then 'unknown' when lang <> 'en' then 'not_human' when source <> 'study_summary' then 'not_bulk_rnaseq'
         when coalesce(length(text) < 600, true) then 'string_too_short' else 'kept' end as reason, count(*) as n from documents group by 1""",
     "keyword_label": f"""select case lower(trim(trtctr_ep)) when 'treated' then 'treated' when 'control' then 'control' end as gold,
-        case when regexp_matches(lower(coalesce(trtctr, '')), '\\b({"|".join(X.CONTROL_WORDS)})\\b') then 'control' else 'treated' end as predicted, count(*) as n from samples group by 1, 2""",
+        case when regexp_matches(lower(coalesce(trtctr, '')), '\\b(ctrl|control|wildtype|wild-type|wild type|wt|dmso|vehicle|untreated|mock|uninfected|naive|non-targeting|scrambled|sint|sineg|shnt|empty vector|ev|parental)\\b') then 'control' else 'treated' end as predicted, count(*) as n from samples group by 1, 2""",
     "keyword_kind": f"select geo_accession, strftime(loaded_at, '%Y-%m-%d %H:%M:%S') as loaded, {_KIND} as kind from (select geo_accession, loaded_at, concat_ws(' ', sample_string, trtctr) as t from samples)",
     "keyword_kind_documents": f"select source, {_KIND} as kind, count(*) as n from (select source, translate(text, chr(10) || chr(13), '  ') as t from documents) group by 1, 2",
     "dose_duration_keys": """with p as (select perturbation_id, dose.value_raw as d, duration.value_raw as r, lower(regexp_replace(duration.value_raw, '\\s+', '', 'g')) as t from perturbations),
@@ -191,11 +177,10 @@ ORACLE_SQL = {
     "token_tiers": """with d as (select case when b < 15360 then 'S' when b < 25600 then 'M' when b < 35840 then 'L' else 'XL' end as tier, greatest(1, ceil(strlen(coalesce(text, '')) / 4))::bigint as tokens
         from (select text, strlen(coalesce(text, '')) * 8 as b from documents))
         select l.tier, count(d.tier) as n, coalesce(sum(tokens), 0)::bigint as tokens, any_value(m)::int as max_tokens from (values ('S', 4096), ('M', 8192), ('L', 16384), ('XL', 32768)) l(tier, m) left join d using (tier) group by 1""",
-    "size_outliers": "select doc_id, length(text)::int as n from documents where length(text) > 3500",
     "prompts": """select geo_accession, md5(u) as user_md5, length(u)::int as n_chars, 'Return one JSON fact.' as system, 2 as n_messages from (select geo_accession,
         concat_ws(chr(10), 'sample: ' || geo_accession, 'study: ' || series_id, 'text: ' || sample_string) as u from (select distinct geo_accession, series_id, sample_string from samples))""",
     "job_scripts": f"""select series_id, 'run ' || s || ' on ' || series_id || ' for ' || {_CLOCK.format("n")} as script from (select series_id, {_SLUG} as s, length(study_summary) * 7 as n from studies)""",
-    "method_tags": f"""select series_id, coalesce(regexp_matches(coalesce(study_title, '') || case when (length(series_id) + length(study_summary)) % 3 = 0 then ' [bulk]' else '' end, '{X.METHOD_TAG}'), false) as has_tag from studies""",
+    "method_tags": f"""select series_id, coalesce(regexp_matches(coalesce(study_title, '') || case when (length(series_id) + length(study_summary)) % 3 = 0 then ' [bulk]' else '' end, '(?i)\\[(scRNA|RNA-Seq|RNA-seq|single-cell|bulk|ATAC|ChIP)|\\((scRNA|RNA-seq|bulk|ATAC|ChIP)'), false) as has_tag from studies""",
     "iso_stamps": """select series_id, strftime(submitted_at, '%Y-%m-%dT%H:%M:%SZ') as iso, strftime(submitted_at, '%Y%m%dT%H%M%SZ') as stamp, datediff('day', submitted_at::date, date '2026-01-01')::int as days_old from studies""",
     "clock_times": f"""select series_id, '1-' || {_CLOCK.format("n")} as clock, (86400 + n)::bigint as seconds, ((86400 + n) // 60)::bigint as minutes from (select series_id, length(study_summary) * 5 as n from studies)""",
 }
