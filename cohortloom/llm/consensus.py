@@ -7,17 +7,16 @@ label names (A for B) would look like a guesser; after a first fit such a renami
 table of true label against vote, and a second fit reads the annotator's labels under it.
 
 Votes are gathered once into one short array per item (one vote per annotator and item, combined map-side),
-written to shared storage, and every EM step is a narrow pass over these arrays that returns one row of
-sufficient statistics per task. The parameters travel with the tasks; their size is that of the annotator
+written to shared storage, and every EM step is a narrow pass over these arrays that returns a row of sums for each
+annotator that a task met. The parameters travel with the tasks; their size is that of the annotator
 list, which is checked against ``max_annotators``. Beyond it every step, and the renaming, is run as joins on
 the annotator, with the same steps, the same end and the same results.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import permutations
 
 import numpy as np
 import pandas as pd
@@ -79,21 +78,50 @@ def _flat(batch: pd.DataFrame, names: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return a, names[a, np.concatenate(batch["y"].to_numpy())], item
 
 
-def renamings(table: np.ndarray, least_gain: float = 0.2, least_votes: float = 30) -> np.ndarray:
+def best_match(gain: np.ndarray) -> list[int]:
+    """For each row the column of the one-to-one assignment with the greatest sum (shortest augmenting paths), the identity among equals."""
+    k = len(gain)
+    cost = -np.asarray(gain, dtype="float64") - 1e-9 * np.eye(k)
+    u, v, owner = np.zeros(k + 1), np.zeros(k + 1), np.full(k + 1, -1)
+    for i in range(k):
+        owner[k] = i
+        at, low, way, done = k, np.full(k, np.inf), np.full(k, -1), np.zeros(k + 1, dtype=bool)
+        while owner[at] >= 0:
+            done[at] = True
+            row = owner[at]
+            slack = np.where(done[:k], np.inf, cost[row] - u[row] - v[:k])
+            better = slack < low
+            low[better], way[better] = slack[better], at
+            open_low = np.where(done[:k], np.inf, low)
+            to = int(open_low.argmin())
+            step = open_low[to]
+            u[owner[done]] += step
+            v[done] -= step
+            low[~done[:k]] -= step
+            at = to
+        while at != k:
+            before = way[at]
+            owner[at] = owner[before]
+            at = before
+    out = [0] * k
+    for column, row in enumerate(owner[:k]):
+        out[row] = column
+    return out
+
+
+def renamings(table: np.ndarray, least_gain: float = 0.2) -> np.ndarray:
     """By annotator, the renaming of labels that agrees best with ``table`` (annotator x true label x written label).
 
-    The identity stays unless another renaming agrees on ``least_gain`` more of the votes; up to six labels.
+    The identity stays unless another renaming agrees on ``least_gain`` more of the n votes, and on 3 sqrt(n) more, which
+    chance doesn't reach.
     """
     m, k, _ = table.shape
     names = np.tile(np.arange(k), (m, 1))
-    if k > 6:
-        return names
     for i in range(m):
         n = table[i].sum()
-        if n < least_votes:
-            continue
-        best = max(permutations(range(k)), key=lambda p: sum(table[i, p[y], y] for y in range(k)))
-        if sum(table[i, best[y], y] - table[i, y, y] for y in range(k)) >= least_gain * n:
+        best = best_match(table[i].T)
+        gain = sum(table[i, best[y], y] - table[i, y, y] for y in range(k))
+        if n > 0 and gain >= max(least_gain * n, 3 * np.sqrt(n)):
             names[i] = best
     return names
 
@@ -101,50 +129,77 @@ def renamings(table: np.ndarray, least_gain: float = 0.2, least_votes: float = 3
 def fit_mixture(items: DataFrame, annotators: list[str], labels: list[str], steps: int = 60, tolerance: float = 1e-4, smoothing: float = 0.5) -> Fit:
     """EM over ``items(item, a array<int>, y array<int>)``; stops when no competence moves by more than ``tolerance``."""
     m, k = len(annotators), len(labels)
-    fit, table = _em(items, Fit(annotators, labels, np.full(m, 0.7), np.full((m, k), 1 / k), np.full(k, 1 / k), 0, np.tile(np.arange(k), (m, 1))), steps, tolerance, smoothing)
-    names = renamings(table)
+    first = Fit(annotators, labels, np.full(m, 0.7), np.full((m, k), 1 / k), np.full(k, 1 / k), 0, np.tile(np.arange(k), (m, 1)))
+    used, fit = _em(items, first, steps, tolerance, smoothing)
+    names = renamings(_vote_table(items, used))
     if (names == fit.names).all():
         return fit
     competence = np.where((names == np.arange(k)).all(1), fit.competence, 0.7)
-    return _em(items, Fit(annotators, labels, competence, fit.guesses, fit.prior, fit.steps, names), steps, tolerance, smoothing)[0]
+    return _em(items, Fit(annotators, labels, competence, fit.guesses, fit.prior, fit.steps, names), steps, tolerance, smoothing)[1]
 
 
-def _em(items: DataFrame, fit: Fit, steps: int, tolerance: float, smoothing: float) -> tuple[Fit, np.ndarray]:
-    annotators, labels = fit.annotators, fit.labels
-    m, k = len(annotators), len(labels)
-    table = np.zeros((m, k, k))
+def _sums(items: DataFrame, fit: Fit, width: int, add: Callable) -> dict[int, np.ndarray]:
+    """By annotator the sums of ``width`` numbers over all votes, -1 for sums over items; ``add(a, y, item, p, honest)`` yields (annotators, column, values).
 
-    def statistics(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        truthful, guessed, votes, classes, table = np.zeros(m), np.zeros((m, k)), np.zeros(m), np.zeros(k), np.zeros((m, k, k))
+    A task sends a row for each annotator that it met; the rows are added up map-side and only the parameters' sums come
+    to the driver.
+    """
+    m = len(fit.annotators)
+
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((m + 1, width))
         for batch in batches:
             if len(batch):
                 a, y, item = _flat(batch, fit.names)
                 p, honest, _ = _posterior(a, y, item, len(batch), fit)
-                t = p[item, y] * honest
-                np.add.at(truthful, a, t)
-                np.add.at(guessed, (a, y), 1 - t)
-                np.add.at(votes, a, 1)
-                classes += p.sum(0)
-                np.add.at(table, (a, slice(None), y), p[item])
-        yield pd.DataFrame({"s": [np.concatenate([truthful, votes, classes, guessed.ravel(), table.ravel()]).tolist()]})
-
-    width = 2 * m + k + m * k + m * k * k
+                for who, column, values in add(a, y, item, p, honest):
+                    np.add.at(total, (who, column), values)
+        met = np.flatnonzero(total.any(axis=1))
+        yield pd.DataFrame(np.column_stack([np.where(met == m, -1, met), total[met]]), columns=["a", *[f"x{i}" for i in range(width)]])
+
+    rows = items.select("a", "y").mapInPandas(part, ", ".join(["a double", *[f"x{i} double" for i in range(width)]]))
+    return {int(r[0]): np.array(r[1:], dtype="float64") for r in rows.groupBy("a").agg(*[F.sum(f"x{i}").alias(f"x{i}") for i in range(width)]).collect()}
+
+
+def _vote_table(items: DataFrame, fit: Fit) -> np.ndarray:
+    """Expected votes by annotator, true label and written label."""
+    m, k = len(fit.annotators), len(fit.labels)
+
+    def add(a: np.ndarray, y: np.ndarray, item: np.ndarray, p: np.ndarray, honest: np.ndarray) -> Iterator[tuple]:
+        for t in range(k):
+            yield a, t * k + y, p[item, t]
+
+    table = np.zeros((m, k * k))
+    for i, x in _sums(items, fit, k * k, add).items():
+        table[i] = x
+    return table.reshape(m, k, k)
+
+
+def _em(items: DataFrame, fit: Fit, steps: int, tolerance: float, smoothing: float) -> tuple[Fit, Fit]:
+    """(the parameters that the last step used, those that it gave)."""
+    m, k = len(fit.annotators), len(fit.labels)
+
+    def add(a: np.ndarray, y: np.ndarray, item: np.ndarray, p: np.ndarray, honest: np.ndarray) -> Iterator[tuple]:
+        t = p[item, y] * honest
+        yield a, 0, t
+        yield a, 1, 1.0
+        yield a, 2 + y, 1 - t
+        # the sums of the posteriors stand in the row behind the annotators
+        yield np.full(k, m), 2 + np.arange(k), p.sum(0)
+
+    used = fit
     for _ in range(steps):
-        part = items.select("a", "y").mapInPandas(statistics, "s array<double>")
-        # one row per task holds the sums; they are added up by position, combined map-side
-        added = part.select(F.posexplode("s").alias("i", "x")).groupBy("i").agg(F.sum("x").alias("x")).collect()
-        total = np.zeros(width)
-        for r in added:
-            total[r.i] = r.x
-        truthful, votes, classes = total[:m], total[m : 2 * m], total[2 * m : 2 * m + k]
-        guessed, table = total[2 * m + k : 2 * m + k + m * k].reshape(m, k), total[2 * m + k + m * k :].reshape(m, k, k)
+        total = np.zeros((m + 1, 2 + k))
+        for i, x in _sums(items, fit, 2 + k, add).items():
+            total[i] = x
+        truthful, votes, guessed, classes = total[:m, 0], total[:m, 1], total[:m, 2:], total[m, 2:]
         competence = (truthful + smoothing) / (votes + 2 * smoothing)
         moved = float(np.abs(competence - fit.competence).max()) if m else 0.0
         guesses = (guessed + smoothing) / (guessed.sum(1, keepdims=True) + k * smoothing)
-        fit = Fit(annotators, labels, competence, guesses, (classes + 1) / (classes.sum() + k), fit.steps + 1, fit.names)
+        used, fit = fit, Fit(fit.annotators, fit.labels, competence, guesses, (classes + 1) / (classes.sum() + k), fit.steps + 1, fit.names)
         if moved < tolerance:
             break
-    return fit, table
+    return used, fit
 
 
 def _joined_fit(votes: DataFrame, labels: list[str], steps: int, smoothing: float, tolerance: float = 1e-4) -> tuple[DataFrame, DataFrame, DataFrame]:

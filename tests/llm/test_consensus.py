@@ -76,3 +76,24 @@ def test_both_paths_give_the_same_results(spark):
     assert a.keys() == b.keys() and a["swap"].reliability > 0.75
     for x, r in a.items():
         assert r.n_votes == b[x].n_votes and max(abs(u - v) for u, v in zip([r.reliability, *r.guesses], [b[x].reliability, *b[x].guesses])) < 1e-6
+
+
+def test_assignment_equals_all_permutations():
+    import itertools
+
+    import numpy as np
+
+    from cohortloom.llm.consensus import best_match, renamings
+
+    rng = np.random.default_rng(3)
+    for k in (1, 2, 3, 4, 5, 6):
+        for _ in range(20):
+            g = rng.integers(0, 9, (k, k)).astype(float)
+            best = best_match(g)
+            assert sorted(best) == list(range(k))
+            assert sum(g[i, best[i]] for i in range(k)) == max(sum(g[i, p[i]] for i in range(k)) for p in itertools.permutations(range(k)))
+    assert best_match(np.ones((4, 4))) == [0, 1, 2, 3]
+    # nine labels, two of them exchanged; a handful of votes isn't enough
+    table = np.stack([np.eye(9) * 40, np.eye(9)[[1, 0, *range(2, 9)]] * 40, np.eye(9)[[1, 0, *range(2, 9)]] * 0.3])
+    names = renamings(table, least_gain=0.1)
+    assert names[0].tolist() == list(range(9)) and names[1].tolist() == [1, 0, *range(2, 9)] and names[2].tolist() == list(range(9))
