@@ -167,6 +167,8 @@ def find_record(text: str | None, signature: frozenset[str]) -> dict | None:
         pass
     else:
         return _search(whole, signature)
+    # no record begins behind the last place of one of its keys
+    last = min(max(text.rfind(f'"{k}"'), text.rfind(f'\\"{k}\\"')) for k in signature)
     pos = 0
     while True:
         starts = [i for i in (text.find("{", pos), text.find("[", pos)) if i >= 0]
@@ -177,7 +179,7 @@ def find_record(text: str | None, signature: frozenset[str]) -> dict | None:
             value, end = _decoder.raw_decode(text, at)
         except (ValueError, RecursionError):
             pos = at + 1
-            if not all(f'"{k}"' in text[pos:] or f'\\"{k}\\"' in text[pos:] for k in signature):
+            if pos > last:
                 break
             continue
         if (found := _search(value, signature)) is not None:
