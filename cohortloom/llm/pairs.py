@@ -22,21 +22,25 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..workspace import spread
+from ..workspace import materialize, spread
 
 # --- fixed values: function words and refusal wording ----------------------------------------------------
+# articles, prepositions, pronouns, conjunctions and auxiliaries of each language
 FUNCTION_WORDS = {
-    "en": "the of and is in to that a an which with not for as are this it on by from but so than its both be was were has have does do or at would i there while although because only what neither since could can only same them each these no",
-    "it": "il la lo le gli di del della dello dei degli delle che è e un una per con non nel nella sono stata stati questa questo quindi più alla al dal ed si ha come perché soltanto anche ma o su tra dopo prima due ho mi in da terrei serie campione",
-    "de": "der die das des dem den ein eine einer und ist nicht mit für auf von zu im in daher deshalb sie es sich als auch nur weil aber oder bei nach vor wie wurde wurden war haben hat genau diese dieser fast ich würde beide",
-    "fr": "le la les de du des un une et est dans que qui ne pas pour avec sur par au aux ce cette donc plus elle il je on ont sont comme parce mais ou se deux après même très presque soutient",
-    "es": "el la los las de del un una y es en que no para con por su al lo se más así esta este como porque pero o me han son está solo dos igual casi entre ha sin",
-    "pt": "o a os as de do da dos das um uma e é em que não para com por seu ao se mais portanto esta este como porque mas ou eu foi são está apenas duas igual quase entre há sem no na têm ficaria uma",
+    "en": "the of and is in to that a an which with not for as are this it on by from but so than its both be was were has have had does do did or at would i we you he she they there while although because only what neither nor since could can will these those each no if when where who into been being our your their his her them us",
+    "it": "il lo la i gli le un uno una di del dello della dei degli delle a al allo alla ai agli alle da dal dallo dalla dai dagli dalle in nel nello nella nei negli nelle con su sul sullo sulla sui sugli sulle per tra fra e ed o od ma che chi cui non si ci è sono era erano ha ho hanno aveva stato stata stati state come perché quindi anche più meno questo questa questi queste quello quella io noi lui lei loro mi ti se dopo prima mentre quando",
+    "de": "der die das des dem den ein eine einer eines einem einen und oder aber denn weil dass wenn als wie ist sind war waren hat haben hatte wird werden wurde wurden nicht mit für auf von vom zu zum zur im in an am aus bei nach vor über unter zwischen durch ohne um sie er es wir ich sich auch nur noch schon sehr daher deshalb diese dieser dieses beide beim",
+    "fr": "le la les l un une des du de d au aux et ou mais donc car que qui quoi dont où ce cet cette ces est sont était étaient a ont avait dans sur sous avec sans pour par entre vers chez ne pas plus moins très aussi comme parce il elle ils elles on nous vous je se son sa ses leur leurs été",
+    "es": "el la los las un una unos unas de del al a en con sin por para entre sobre hasta desde y e o u pero porque que quien cual cuyo no se lo le les su sus es son era eran ha han había está están fue fueron como más menos muy también así este esta estos estas yo nosotros ellos ella si cuando donde",
+    "pt": "o a os as um uma uns umas de do da dos das ao aos à às em no na nos nas com sem por para pelo pela entre sobre até e ou mas porque que quem cujo não se lhe seu sua seus suas é são era eram há tem têm foi foram está estão como mais menos muito também este esta estes estas eu nós eles ela quando onde já",
+    "nl": "de het een en of maar want omdat dat die dit deze is zijn was waren heeft hebben had wordt worden werd niet met voor op van naar in uit bij door over onder tussen zonder om ik wij hij zij ze er ook nog zeer daarom dan als",
+    "sv": "en ett den det de och eller men för att som är var har hade inte med på av från till i om vid efter under mellan utan jag vi han hon sig också bara mycket därför när där denna detta dessa",
 }
 PLACEHOLDERS = {"", "null", "none", "n/a", "na", "n.a", "nan", "nil", "undefined", "no reasoning", "no answer", "no reason", "no response", "empty", "blank", "not provided", "no text", "nessuna", "nulla", "missing", "tbd", "todo", "unknown"}
+# articles, prepositions and conjunctions that no sentence ends with
 DANGLING = {
-    "en": "the a an of and or but to with which that is are was were in on at by for from as because while since so than its whose where when if only both more most into between against very be has have not per via although also",
-    "it": "il la lo le gli di del della dei delle e ed o ma che per con non nel nella in da al alla dal dalla un una è sono come perché mentre quando se tra su più anche",
+    "en": "the a an of and or but to with which that is are was were in on at by for from as because while since so than its whose where when if into between against very per via although",
+    "it": "il lo la gli le un uno una di del della dei degli delle a al alla da dal dalla in nel nella con su per tra e ed o ma che come perché mentre quando se",
 }
 _ABILITY = r"(?:can(?:no|['’])?t|can not|(?:am|are|['’]m) (?:un|not )able to|(?:am|are|['’]m) not (?:allowed|permitted|authori[sz]ed|supposed|willing|comfortable|in a position)(?: to)?|won['’]?t(?: be able to)?|will not(?: be able to)?|may not|must not|would rather not|do not wish to|prefer not to|shall not)"
 _ACT = r"(?:help|assist|answer|comment|judge|pick|choose|decide|do (?:that|this|it|so)|provide|give|respond|discuss|comply|fulfil+|offer|resolve|rule on|make (?:that|this|such)|engage|continue|process|complete|address|advise|take part|support|speak|say|reply|share|handle|work|weigh in|participate|recommend|settle|evaluate|review)"
@@ -62,7 +66,7 @@ COURTESY = re.compile(r"\b(?:thank|thanks|sorry|regret|apolog\w*|please|consult|
 _PROFILES = {k: frozenset(v.split()) for k, v in FUNCTION_WORDS.items()}
 _DANGLING = {k: frozenset(v.split()) for k, v in DANGLING.items()}
 _INVISIBLE = re.compile(r"[\s​-‏⁠﻿­]+")
-_QUOTED = re.compile(r"\"[^\"\n]{0,400}\"|“[^”\n]{0,400}”|«[^»\n]{0,400}»")
+_QUOTED = re.compile(r"\"[^\"\n]*\"|“[^”\n]*”|«[^»\n]*»")
 _WORD = re.compile(r"[^\W_]+(?:['’-][^\W_]+)*")
 
 
@@ -280,8 +284,8 @@ def local_defect(prompt: str | None, answer: str | None, copied_share: float = 0
     ws = ["^", "^", *shape_words(t)]
     if len(ws) == 2:
         return None, None
-    own = language(answer)[0]
-    if ws[-1] in _DANGLING.get(own or "en", _DANGLING["en"]):
+    # a label in capitals, such as (A), is no article
+    if _WORD.findall(t)[-1:] == [ws[-1]] and ws[-1] in _DANGLING.get(language(answer)[0] or "en", _DANGLING["en"]):
         return "truncated", None
     return None, [f"3 {ws[-3]} {ws[-2]} {ws[-1]}", f"2 {ws[-3]} {ws[-2]}", f"1 {ws[-1]}"]
 
@@ -319,11 +323,13 @@ def broken_pairs(df: DataFrame, id_col: str, prompt_col: str, answer_col: str, c
                     n, ends = Counter(), Counter()
             yield pd.DataFrame({"run": list(n), "n": list(n.values()), "ends": [ends[k] for k in n]})
 
-    judged = base.mapInPandas(judge, f"id {id_type}, defect string, r3 string, r2 string, r1 string").persist()
+    judged = materialize(base.mapInPandas(judge, f"id {id_type}, defect string, r3 string, r2 string, r1 string"), "judged-pairs")
     sure = judged.filter("defect is not null").select("id", "defect")
     open_end = judged.filter("defect is null")
-    wanted = open_end.select(F.explode(F.array("r3", "r2", "r1")).alias("run")).distinct()
-    counts = base.select("p", "a").mapInPandas(runs_of, "run string, n long, ends long").join(wanted, "run", "left_semi").groupBy("run").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends"))
+    wanted = materialize(open_end.select(F.explode(F.array("r3", "r2", "r1")).alias("run")).distinct(), "asked-runs")
+    # the runs of all texts are counted once, and only those that an answer asks about leave the join
+    every = base.select("p", "a").mapInPandas(runs_of, "run string, n long, ends long")
+    counts = materialize(every.join(wanted, "run", "left_semi").groupBy("run").agg(F.sum("n").alias("n"), F.sum("ends").alias("ends")), "run-counts")
     # at most three rows a distinct ending: joined back by ending, not by answer
     endings = open_end.select("r3", "r2", "r1").distinct()
     for r in ("r3", "r2", "r1"):

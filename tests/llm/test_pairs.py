@@ -70,3 +70,33 @@ def test_list_items_left_open():
         assert left_open(text) and local_defect("Which series is it?", text)[0] == "truncated", text
     for text in ("1. first.\n2. second.", "2.", "1.", "The answer is\n2.", "It is A.\n- one.\n---", "1.\n2.\nBoth.", "- one.\n-\n  two.", "```\n-\n```", "It is (see\n1) A.", "a. One.\nThe end."):
         assert not left_open(text), text
+
+
+#: Sentences of other subjects and wordings, written after the rules and not used to make them.
+HELD_OUT_REFUSALS = (
+    "I'm afraid I can't help with that request.", "Sorry, I am unable to provide an answer.", "I won't comment on this matter.", "We must decline to judge these records.", "I would rather not choose between them.",
+    "As an AI model, I cannot take part in such decisions.", "I refuse to respond to this prompt.", "Regrettably, I am not permitted to discuss this.", "I'd prefer not to answer.", "I do not wish to give an opinion here.",
+    "My guidelines do not allow me to decide this.", "I have to abstain.", "This is not something I can assist with.", "I will not be able to make that choice.", "It would not be appropriate for me to pick a side.",
+    "Mi dispiace, ma non posso rispondere.", "Non sono autorizzato a giudicare questi dati.", "Devo declinare la richiesta.", "Preferisco astenermi.", "Come assistente non posso scegliere.",
+)
+HELD_OUT_ANSWERS = (
+    "The second accession lists the dose, which the first one lacks.", "Neither record can be preferred, since both describe the same cells.", "It is unclear which of the two came first.", "I cannot tell the two apart from the titles, but the dates favour the older one.",
+    "The authors declined to share the raw files, so the summary decides.", "Both fit equally well.", "The smaller study should be kept because every sample is in it.", "We chose the first study, as its design matches the string.",
+    "La prima serie descrive il trattamento, quindi va tenuta.", "Non è chiaro quale delle due serie sia la principale.",
+)
+HELD_OUT_FOREIGN = (
+    "Die erste Studie beschreibt die Probe genauer als die zweite.", "La première étude décrit le traitement, donc elle est la bonne.", "El segundo estudio es más pequeño y contiene todas las muestras.", "O primeiro estudo é maior, mas não descreve a amostra.",
+    "De eerste studie is kleiner en beschrijft het monster beter.", "Den första studien är mindre och beskriver provet bättre.", "La seconda serie è più piccola e contiene tutti i campioni.", "Вторая серия меньше и описывает образец.", "第二个系列更小，因此更合适。",
+)
+HELD_OUT_CUT = ("The first series was chosen [see the", 'The title says "RNA of', "Reasons:\n- the dose\n-", "```\nchoice: A", "The overlap (82% of", "It belongs to **the first")
+
+
+def test_held_out_wordings():
+    refused = [t for t in HELD_OUT_REFUSALS if is_refusal(t)]
+    wrong = [t for t in HELD_OUT_ANSWERS if local_defect(PROMPT if t.isascii() and not t.startswith(("La ", "Non ")) else "Decidi quale serie è la principale e spiega perché.", t)[0] is not None]
+    foreign = [t for t in HELD_OUT_FOREIGN if other_language(PROMPT, t)]
+    cut = [t for t in HELD_OUT_CUT if local_defect(PROMPT, t)[0] == "truncated"]
+    recall = (len(refused) + len(foreign) + len(cut)) / (len(HELD_OUT_REFUSALS) + len(HELD_OUT_FOREIGN) + len(HELD_OUT_CUT))
+    precision = (len(refused) + len(foreign) + len(cut)) / (len(refused) + len(foreign) + len(cut) + len(wrong))
+    print("missed", [t for t in (*HELD_OUT_REFUSALS, *HELD_OUT_FOREIGN, *HELD_OUT_CUT) if t not in refused + foreign + cut], "wrong", wrong)
+    assert recall >= 0.9 and precision >= 0.9, (recall, precision, [t for t in HELD_OUT_REFUSALS if t not in refused], [t for t in HELD_OUT_FOREIGN if t not in foreign], wrong)
