@@ -73,11 +73,12 @@ def schedule(spark, shares: list[tuple[str, float]], slots: int, points: str = "
     return running_sum(rows, "source", F.floor(F.col("slot") / chunk), ["slot"], F.lit(1), "block")
 
 
-def mix(docs: DataFrame, id_col: str, source_col: str, text_col: str, targets: DataFrame, total_tokens: int | None = None, block_tokens: int = 1024, seed: int = 1, points: str = "golden", vocabulary: str | None = None, max_sources: int = 5000, bucket_rows: int = 50_000) -> tuple[DataFrame, DataFrame]:
+def mix(docs: DataFrame, id_col: str, source_col: str, text_col: str, targets: DataFrame, total_tokens: int | None = None, block_tokens: int | None = None, seed: int = 1, points: str = "golden", vocabulary: str | None = None, max_sources: int = 5000, bucket_rows: int = 50_000) -> tuple[DataFrame, DataFrame]:
     """(mixture, report). ``targets``: source, target_share, max_repeats.
 
     mixture: slot, source, id, copy (from 0), tokens and place, the order within the slot. Without
-    ``total_tokens`` the mixture is the largest in which every source can hold its share. report: one row per
+    ``total_tokens`` the mixture is the largest in which every source can hold its share. Without ``block_tokens`` a block
+    is a thousandth of the smallest source's part, 16 tokens at least and 1024 at most. report: one row per
     target source with its target and actual share, tokens, documents and most copies; a source without tokens
     holds 0 and leaves its share to the others. Null sources, sources without a target and documents without
     tokens take no part; an empty table gives an empty mixture.
@@ -94,6 +95,9 @@ def mix(docs: DataFrame, id_col: str, source_col: str, text_col: str, targets: D
     share = sum(r.target_share for r in live)
     most = min((sums[r.source][0] * r.max_repeats * share / r.target_share for r in live), default=0)
     total = most if total_tokens is None else total_tokens
+    if block_tokens is None:
+        least = min((r.target_share / share for r in live), default=0)
+        block_tokens = max(16, min(1024, int(total * least / 1000)))
     slots = int(total // block_tokens)
     plan = materialize(schedule(spark, [(r.source, r.target_share) for r in live] or [("", 1.0)], slots if live else 0, points), "schedule")
     per_source = {r.source: r["count"] for r in plan.groupBy("source").count().collect()}
