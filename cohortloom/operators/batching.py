@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import token_estimate
+from ..workspace import materialize
 from .prefix import running_sum
 from .sampling import shuffled_rank
 
@@ -37,18 +38,24 @@ def rechunk(df: DataFrame, record: str, samples: str, size: int = 25) -> DataFra
 
 
 def round_robin(df: DataFrame, order: str, shards: int, bucket_rows: int = 100_000) -> DataFrame:
-    """Adds ``shard``: rank by a numeric order column, modulo the number of shards; ranks in two levels."""
-    one = df.withColumn("_g", F.lit(0))
-    ranked = running_sum(one, "_g", F.floor(F.col(order) / bucket_rows), [order], F.lit(1).cast("long"), "_r")
+    """Adds ``shard``: rank by an order column, modulo the number of shards.
+
+    Ranks are taken in two levels over range partitions of about ``bucket_rows`` rows, however sparse the column is; the
+    cut is written once, so that the partitions stay the same. Equal values are ordered by the row's hash; nulls come first.
+    """
+    parts = max(1, -(-df.count() // bucket_rows))
+    whole = F.xxhash64(*df.columns)
+    cut = materialize(df.withColumn("_h", whole).repartitionByRange(parts, order, "_h").withColumn("_bucket_id", F.spark_partition_id()), "ranges").withColumn("_g", F.lit(0))
+    ranked = running_sum(cut, "_g", F.col("_bucket_id"), [order, "_h"], F.lit(1).cast("long"), "_r").drop("_h", "_bucket_id")
     return ranked.withColumn("shard", (F.col("_r") % shards).cast("int")).drop("_g", "_r")
 
 
-def greedy_chunks(df: DataFrame, group: str, order: str, text: str, context_tokens: int, prompt_tokens: int, reserve: int, fraction: float = 0.70, max_records: int = 1_000_000) -> DataFrame:
+def greedy_chunks(df: DataFrame, group: str, order: str, text: str, context_tokens: int, prompt_tokens: int, reserve: int, fraction: float = 0.70, max_records: int = 1_000_000, max_group_rows: int = 5_000_000) -> DataFrame:
     """Greedy token-budget chunks of each group, in order: group, chunk_id, start_index, end_index (from 1), record_count, estimated_tokens, oversize.
 
     A chunk starts at the prompt's tokens and takes records while tokens and count fit; a record that fits no
-    chunk forms one of its own. The fold over a group is sequential by nature, so a group is one bounded file of
-    records; it carries two numbers a record, never the texts. Null texts count one token.
+    chunk forms one of its own. The fold over a group is sequential by nature, so a group is one file of at most
+    ``max_group_rows`` records, and a larger one raises an error; it carries two numbers a record, never the texts. Null texts count one token.
     """
     import math
 
@@ -58,6 +65,8 @@ def greedy_chunks(df: DataFrame, group: str, order: str, text: str, context_toke
     def fold(pdf):
         import pandas as pd
 
+        if len(pdf) > max_group_rows:
+            raise ValueError(f"group {pdf[group].iloc[0]} has {len(pdf)} rows, more than {max_group_rows}")
         pdf = pdf.sort_values("_o", kind="stable")
         rows, start, total, count = [], 1, prompt_tokens, 0
         for i, cost in enumerate(pdf["_cost"], 1):

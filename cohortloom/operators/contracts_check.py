@@ -21,9 +21,12 @@ class Rule:
     maximum: float | None = None
 
 
-def contract_errors(raw: Column, rules: list[Rule], path: str = "$") -> Column:
-    """All error messages of the object at ``path`` of a JSON text, in rule order; an unreadable text gives one error."""
-    whole = F.try_parse_json(raw)
+def contract_errors(raw: Column, rules: list[Rule], path: str = "$", parsed: Column | None = None) -> Column:
+    """All error messages of the object at ``path`` of a JSON text, in rule order; an unreadable text gives one error.
+
+    ``parsed`` is the text as a variant, where the table has it in a column already.
+    """
+    whole = F.try_parse_json(raw) if parsed is None else parsed
     keys = F.json_object_keys(F.get_json_object(raw, path))
     known = F.array(*[F.lit(r.name) for r in rules])
     checks = [F.when(F.size(F.array_except(keys, known)) > 0, F.concat(F.lit("additional: "), F.array_join(F.array_sort(F.array_except(keys, known)), ",")))]

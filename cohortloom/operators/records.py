@@ -24,16 +24,18 @@ def overlay(base: DataFrame, patch: DataFrame, key: str, columns: list[str], tag
     return out.select(*cols, F.when(F.col("_hit"), tag).otherwise("base").alias("source"))
 
 
-def first_hit(needles: DataFrame, needle: str, dictionaries: list[DataFrame], max_broadcast: int = 200_000) -> DataFrame:
+def first_hit(needles: DataFrame, needle: str, dictionaries: list[DataFrame], max_broadcast_bytes: int = 32_000_000) -> DataFrame:
     """Cascade lookup: distinct needles with the entry of the first dictionary that has them.
 
     Each dictionary has ``name`` and ``entry`` (several entries for a name: the smaller). Dictionaries are
-    cut into (name, priority, entry) and reduced to the first hit per name before the join; their size is
-    checked before they are broadcast. Null needles give no row.
+    cut into (name, priority, entry) and reduced to the first hit per name before the join; their bytes
+    are summed up before they are broadcast. Null needles give no row.
     """
     long = reduce(DataFrame.unionByName, [d.select(F.lower("name").alias("_n"), F.lit(i).alias("priority"), F.col("entry").cast("string").alias("entry")) for i, d in enumerate(dictionaries)])
     best = long.filter(F.col("_n").isNotNull()).groupBy("_n").agg(F.min(F.struct("priority", "entry")).alias("m"))
-    small = long.limit(max_broadcast + 1).count() <= max_broadcast
+    # the text of a row and 60 bytes around it
+    size = long.agg(F.sum(F.octet_length("_n") + F.octet_length("entry") + 60)).first()[0] or 0
+    small = size <= max_broadcast_bytes
     keys = needles.select(needle).filter(F.col(needle).isNotNull()).distinct()
     return keys.join(F.broadcast(best) if small else best, F.lower(needle) == F.col("_n"), "left").select(needle, "m.entry", F.col("m.priority").alias("resolved_via"))
 

@@ -16,6 +16,9 @@ QUEUED = ("pending", "configuring", "resv_del_hold", "requeue_hold", "suspended"
 RUNNING = ("running", "completing", "stage_out")
 FAILED = ("failed", "timeout", "out_of_memory", "preempted", "node_fail", "boot_fail", "deadline", "revoked")
 TERMINAL = ("completed", "failed", "cancelled", "collected")
+# seconds: start, per chunk, per record, tokens per second
+LARGE_JOB, SMALL_JOB = (120, 30, 2.0, 180), (90, 20, 1.5, 350)
+JOB_MARGIN, JOB_LEAST, TOO_LOW, FAR_TOO_HIGH, HOURS_TOO_HIGH = 1.2, 300, 0.8, 3, 7200
 # ---------------------------------------------------------------------------------------------------------
 
 
@@ -111,10 +114,10 @@ def progress(total: Column, done: Column, failed: Column) -> dict[str, Column]:
 
 def job_seconds(chunks: Column, records: Column, tokens: Column, large: bool = False) -> Column:
     """Heuristic run time: start, chunks, records and tokens, plus a minute, a fifth on top, five minutes at least."""
-    start, per_chunk, per_record, rate = (120, 30, 2.0, 180) if large else (90, 20, 1.5, 350)
+    start, per_chunk, per_record, rate = LARGE_JOB if large else SMALL_JOB
     seconds = start + F.coalesce(chunks, F.lit(0)) * per_chunk + F.coalesce(records, F.lit(0)) * per_record + F.coalesce(tokens, F.lit(0)) / rate
-    return F.greatest(F.lit(300).cast("long"), F.ceil((seconds + 60) * 1.2))
+    return F.greatest(F.lit(JOB_LEAST).cast("long"), F.ceil((seconds + 60) * JOB_MARGIN))
 
 
 def time_status(requested: Column, estimated: Column) -> Column:
-    return F.when(requested < estimated * 0.8, "too_low").when(requested > F.greatest(estimated * 3, estimated + 7200), "suspiciously_high").otherwise("ok")
+    return F.when(requested < estimated * TOO_LOW, "too_low").when(requested > F.greatest(estimated * FAR_TOO_HIGH, estimated + HOURS_TOO_HIGH), "suspiciously_high").otherwise("ok")

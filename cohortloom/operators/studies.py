@@ -29,6 +29,7 @@ def resolve_series(samples: DataFrame, series: str, studies: DataFrame) -> DataF
     first = F.get("all", F.lit(0))["gse"]
     n, k, s = F.size("all"), F.size("open"), F.size("srp")
     a_srp = F.get("open", F.lit(0))["has_srp"]
+    # fixed values: the names of the branches
     branch = (
         F.when(n == 1, "single_gse").when(k == 1, "clean_super_scarted").when(k == 0, "all_super_pathological")
         .when((k == 2) & (s == 2), "tiebreak_both_srp").when((k == 2) & (s == 0), "fallback_no_srp")

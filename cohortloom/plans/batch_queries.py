@@ -180,8 +180,9 @@ def _broken_props(spark, sf):
 
 
 def contract_check(spark, sf):
-    errors = contract_errors(F.col("raw"), [Rule("k", ("integer",), minimum=0, maximum=60)])
-    return _broken_props(spark, sf).select("event_id", F.array_join(errors, "; ").alias("errors"), (F.size(errors) == 0).alias("valid"))
+    errors = contract_errors(F.col("raw"), [Rule("k", ("integer",), minimum=0, maximum=60)], parsed=F.col("v"))
+    checked = _broken_props(spark, sf).withColumn("v", F.try_parse_json("raw")).select("event_id", F.array_join(errors, "; ").alias("errors"))
+    return checked.select("event_id", "errors", (F.col("errors") == "").alias("valid"))
 
 
 def contract_rates(spark, sf):

@@ -7,6 +7,7 @@ executors share, so a lost executor never loses an intermediate result.
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,11 +19,11 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary folder of this machine only where none is set and the master is local."""
+    """The cluster's checkpoint folder; a temporary folder of this machine only where none is set and all tasks run in this process."""
     set_dir = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if set_dir:
         return set_dir.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     own = "file://" + tempfile.mkdtemp(prefix="cohortloom-")
     spark.sparkContext.setCheckpointDir(own)

@@ -209,3 +209,15 @@ def test_store_keeps_valid_values_only(spark, tmp_path):
     compute = lambda m: m.select("key", F.length("payload").cast("string").alias("value"))
     call = lambda: sorted((r.key, r.value, r.hit) for r in runs.stored_read_through(spark, wanted, f"{tmp_path}/s", compute, F.col("value") != "0").collect())
     assert call() == [("a", "2", False)] and call() == [("a", "2", True)]
+
+
+def test_shards_of_sparse_ids_and_bounded_groups(spark):
+    from cohortloom.operators import batching
+
+    ids = [(i * 10**15 + i % 3,) for i in range(-20, 60)]
+    got = {r.id: r.shard for r in batching.round_robin(spark.createDataFrame(ids, "id long"), "id", 7, bucket_rows=9).collect()}
+    assert got == {i: k % 7 for k, (i,) in enumerate(sorted(ids))}
+    assert batching.round_robin(spark.createDataFrame([], "id long"), "id", 7).count() == 0
+    docs = spark.createDataFrame([(1, i, "text") for i in range(5)], "g int, o int, t string")
+    with pytest.raises(Exception, match="group 1 has 5 rows, more than 4"):
+        batching.greedy_chunks(docs, "g", "o", "t", 100, 10, 1, max_group_rows=4).collect()
