@@ -51,7 +51,7 @@ def lines(text: str) -> list[tuple[str, int]]:
         if not body:
             continue
         # a sentence that is wrapped goes on in lower case
-        if out and not n and not out[-1][1] and body[0].islower() and not _END.search(out[-1][0]) and min(len(_WORD.findall(out[-1][0])), 6) == 6:
+        if out and not n and not out[-1][1] and body[0].islower() and not _KEY.match(body) and not _END.search(out[-1][0]) and min(len(_WORD.findall(out[-1][0])), 6) == 6:
             out[-1] = (f"{out[-1][0]} {body}", 0)
         else:
             out.append((body, n))
@@ -79,12 +79,13 @@ def repeats(words: list[str]) -> bool:
 def is_sentence(piece: str, words: list[str], cut: bool = False) -> bool:
     """Five words or more that begin with a capital, a figure or an opening mark, or eight that begin otherwise, up to an end mark, and few of them again.
 
-    Text in capitals takes eight words too, and the last piece of a page may be ``cut`` off before its end mark.
+    Text in capitals takes eight words too. The last piece of a page may be ``cut`` off before its end mark, and twelve
+    words that nothing separates need none.
     """
     start = next((c for c in piece if c.isalnum()), "")
     lower = sum(w[:1].islower() for w in words)
     opened = (start.isupper() or start.isdigit()) and lower >= max(2, 0.3 * len(words))
-    return len(words) >= (5 if opened else 8) and (cut or bool(_END.search(piece))) and not repeats([w.lower() for w in words])
+    return len(words) >= (5 if opened else 8) and (cut or bool(_END.search(piece)) or len(words) >= 12 and len(_SEPARATOR.split(piece)) <= 2) and not repeats([w.lower() for w in words])
 
 
 def shapes(text: str) -> list[tuple[int, str, tuple]]:

@@ -24,6 +24,7 @@ SOUND = {
     "record": "title: run 3, tissue: liver, cell line: X-5, treatment: drug 5 nM, time: 3 days, donor: 5, passage: 4",
     "genes": PROSE + "Genes above the cutoff: KAQR3, QRZL, QAQP3, ZUVN7, KUKD2, ZYQD3, KOZTB, XAVD1.",
     "references": PROSE + "\nReferences:\n[1] notes at https://a.example/GSE1\n[2] notes at https://b.example/GSE2\n[3] notes at https://c.example/GSE3",
+    "cited record": "title: passage 22, cell line: Lumsevbri-53\ntissue: prostate\ntime: 7 days\nlibrary strategy: RNA-Seq\ndonor: 46\ncontrol: untreated\nReferences:\n[1] notes at https://a.example/GSE1\n[2] notes at https://b.example/GSE2",
     "french": "L'étude GSE70006825 compte 5 échantillons, dont 18 utilisables. La perte de KUZN1 réduit le signal de 48%. Cette série est plus petite et donc plus spécifique que l'autre.",
 }
 
